@@ -5,15 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolemill.llm import exact_dedup, mixing, quality_rules
+from rolemill.llm import exact_dedup, language_id, mixing, quality_classifier, quality_rules, secrets
 from rolemill.llm.common import table
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scanned(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_dedup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_classifier.trained(*quality_classifier.sample(docs, table(spark, sf_dir, "labels")))
+    return quality_classifier.scored(docs, model)
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identified(docs, language_id.trained(*language_id.sample(docs)))
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.drawn(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "size", "source_size", "target", "taken")
@@ -24,7 +39,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op4_exact_dedup, op7_source_mixing, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op4_exact_dedup, op5_quality_classifier, op6_language_id, op7_source_mixing, op10_quality_rules)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
