@@ -27,7 +27,12 @@ from rolemill.llm.common import SPACE, shared_path, stored, text_of
 #: Bits of the bitmap that marks digests with hits: 4 MB in 128 pieces at most, whatever the size of the corpus.
 HIT_BITS = 1 << 22
 PIECE_BITS = 32768
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STREAM_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",  # commits write what changed, not whole files
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else each of many small stores holds disk ahead of use
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
 
 
 def normalised(text: Column) -> Column:
@@ -74,7 +79,7 @@ def run_stream(spark: SparkSession, source: str, schema, state_dir: str, files_p
     def append(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{state_dir}/state/batch={number}")
 
-    with _held(spark, {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.streaming.noDataMicroBatches.enabled": "false"}):
+    with _held(spark, STREAM_SETTINGS):
         stream = keyed_state(reader.parquet(source)).writeStream.outputMode("update").option("checkpointLocation", f"{state_dir}/progress")
         stream.foreachBatch(append).trigger(availableNow=True).start().awaitTermination()
     shape = keyed_state(spark.createDataFrame([], schema)).schema
