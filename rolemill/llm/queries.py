@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolemill.llm import exact_dedup, language_id, lm_scoring, mixing, ngram_join, packing, quality_classifier, quality_rules, secrets
+from rolemill.llm import exact_dedup, language_id, lm_scoring, mixing, ngram_join, packing, quality_classifier, quality_rules, repeat_removal, secrets
 from rolemill.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scanned(table(spark, sf_dir, "documents"))
 
 
+def op2_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_removal.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
@@ -53,7 +57,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_best_fit_packing, op4_exact_dedup, op5_quality_classifier, op6_language_id, op7_source_mixing, op8_lm_scoring, op9_ngram_join, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_repeat_removal, op3_best_fit_packing, op4_exact_dedup, op5_quality_classifier, op6_language_id, op7_source_mixing, op8_lm_scoring, op9_ngram_join, op10_quality_rules)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
