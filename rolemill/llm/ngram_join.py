@@ -4,18 +4,20 @@ A document's set holds its distinct shingles of words, A-Z in lower case; with f
 sequence is the one shingle. Two documents link when 100 * intersection >= percent * union.
 
 1. Equal sets become one, named by the smallest doc_id that has it.
-2. Sets are dealt to blocks so that linked sets always share one. Linked sets of at most b members differ in at most
-   D = floor(b * 2 * (100 - percent) / (100 + percent)) members. If a set is cut into more than D parts by hash, one part at
-   least is equal in both. Each set emits a hash of each of its parts; sets with a common part are one block. As that part
-   could be empty in both, sets with at most D parts that aren't empty also share a block for that.
-   The number of parts is a power of two that grows with b, so that a set emits them for one or two numbers of parts.
+2. Sets are dealt to blocks so that linked sets always share one. All members have a place in one order, rarest first. As
+   linked sets share at least percent of each one's members, they share one of the first members of each, so many that
+   the rest of it would be too few. Each set emits those members. Among sets with a common one, the bounds of their points in a coarse
+   R-tree tell which may be linked, and sets that such possible links connect are one block. Members that many sets have, as
+   those of common passages, come last in the order, so that they bring together only sets that have little else. Where more than RUN sets have a
+   member, all of them are one block.
+   How rare a member is, is read off a sketch of fixed size over all documents; any order is right, a good one is fast.
 3. In each block, an R-tree over count vectors finds the sets in reach of each set; those are compared in full unless they
    are connected already. Large blocks are dealt to tiles of bounded size, and a few sets of the block go to every tile.
    What isn't connected with the largest group of its block after that is looked up in all tiles of the block.
 4. Components of the links found are those of all links.
 
-Emitted parts are combined in the task that emits them, so that a part that a third of all documents has is one row a task
-and batch; the shuffle after that holds two numbers a row. Texts are sent only for sets that share a block.
+The shuffle of emitted members holds two numbers a row; points are sent only for sets that share a member, texts only for
+sets of a block. A member that a third of all sets has is linked in a stream, without gathering the sets.
 
 Null texts, empty ones and ones without words have an empty set, which is linked with nothing. Very long texts are taken
 whole. Rows that repeat a doc_id count as one document where links are concerned. Null doc_ids are returned, with the
@@ -34,13 +36,17 @@ from pyspark.sql import functions as F
 
 from rolemill.llm.common import stored
 from rolemill.llm.components import components
-from rolemill.llm.rtree import spanning_links
+from rolemill.llm.rtree import point, reachable_links, spanning_links
 from rolemill.llm.textarrays import as_bytes, lowered, mixed, windows, word_hashes
 
 #: Members of all sets in a tile, at most, but for a set that is larger by itself.
 TILE_MEMBERS = 400_000
 #: Sets of a large block that go to each of its tiles.
 PIVOTS = 24
+#: Buckets in which members are counted, and rows in which the counts meet.
+SKETCH, SUMS = 1 << 19, 8
+#: Coordinates of the points by which blocks are made; and sets with a common member that are held against each other.
+COARSE, RUN = 32, 5000
 
 
 def shingles(data: bytes, width: int) -> np.ndarray:
@@ -55,37 +61,15 @@ def digest(members: np.ndarray) -> bytes:
     return hashlib.blake2b(members.tobytes(), digest_size=16).digest()
 
 
-def most_apart(size: int, percent: int) -> int:
-    """Members in which two linked sets of at most this size can differ."""
-    return 2 * size * (100 - percent) // (100 + percent)
+def first_members(members: np.ndarray, percent: int, counts: np.ndarray) -> np.ndarray:
+    """The rarest members of a set, of which any set that is linked with it has one among its own."""
+    needed = -(-percent * len(members) // 100)
+    order = np.lexsort((members, counts[sketched(members)]))
+    return mixed(members[order[: len(members) - needed + 1]])
 
 
-def part_counts(size: int, percent: int) -> list[tuple[int, int]]:
-    """Numbers of parts to cut a set of this size into, with the most members that linked sets there can differ in."""
-
-    def parts(largest: int) -> int:
-        return 1 << (-(-(most_apart(largest, percent) + 1) * 11 // 10) - 1).bit_length()
-
-    found = {parts(b) for b in (size, 100 * size // percent)}
-    return [(m, m * 10 // 11) for m in range_of(min(found), max(found)) if m > 1]
-
-
-def range_of(low: int, high: int) -> list[int]:
-    return [1 << k for k in range(low.bit_length() - 1, high.bit_length())]
-
-
-def part_keys(members: np.ndarray, percent: int) -> np.ndarray:
-    """Hashes of the parts of a set; members are sorted, and their top bits say to which part they go."""
-    spread = mixed(members)
-    found = []
-    for m, apart in part_counts(len(members), percent):
-        part = (members >> np.uint64(64 - (m.bit_length() - 1))).astype(np.int64)
-        first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-        sums = np.add.reduceat(spread, first)
-        found.append(mixed(sums ^ mixed(part[first].astype(np.uint64) + np.uint64(m) * np.uint64(1 << 32))))
-        if len(first) <= apart:
-            found.append(mixed(np.array([m], np.uint64)))
-    return np.concatenate(found) if found else np.zeros(0, np.uint64)
+def sketched(members: np.ndarray) -> np.ndarray:
+    return (members & np.uint64(SKETCH - 1)).astype(np.int64)
 
 
 def _sid(digest: bytes) -> int:
@@ -93,69 +77,160 @@ def _sid(digest: bytes) -> int:
 
 
 def _profile(width: int):
+    """A row a document, with its point; and one a task with the number of sets that have members in each bucket."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "n", "digest", "sid", "point", "sketch"]
+        sketch = np.zeros(SKETCH, np.int64)
         for batch in batches:
-            sizes, digests = [], []
+            sizes, digests, points = [], [], []
             for t in as_bytes(batch.column("text")):
                 s = shingles(t, width)
+                points.append(point(s, COARSE).tobytes())
+                np.add.at(sketch, sketched(s), 1)
                 sizes.append(len(s))
                 digests.append(digest(s))
-            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array([_sid(d) for d in digests], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "digest", "sid"])
+            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array([_sid(d) for d in digests], pa.int64()), pa.array(points, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(sizes), pa.binary())], names)
+        if sketch.any():
+            yield _sketch_row(sketch, names)
 
     return run
 
 
-def _parts(width: int, percent: int):
-    """(key, sid) once for each key and batch, with key null and (sid, other) for what meets in the batch itself."""
+def _sketch_row(sketch: np.ndarray, names: list[str]) -> pa.RecordBatch:
+    kinds = {"n": pa.int64(), "doc_id": pa.int64(), "sid": pa.int64(), "digest": pa.binary(), "point": pa.binary()}
+    return pa.RecordBatch.from_arrays([pa.array([sketch.tobytes()], pa.binary()) if c == "sketch" else pa.nulls(1, kinds[c]) for c in names], names)
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(SKETCH, np.int64)
+    for batch in batches:
+        for x in batch.column("sketch"):
+            total += np.frombuffer(x.as_py(), np.int64)
+    if total.any():
+        yield _sketch_row(total, ["sketch"])
+
+
+def bucket_counts(profile: DataFrame) -> np.ndarray:
+    """How many sets have members in each bucket; sums of fixed size meet in a few rows."""
+    sums = profile.where("sketch IS NOT NULL").select("sketch").repartition(SUMS).mapInArrow(_summed, "sketch binary").collect()
+    return sum((np.frombuffer(r["sketch"], np.int64) for r in sums), np.zeros(SKETCH, np.int64))
+
+
+def _firsts(width: int, percent: int, counts: np.ndarray):
+    """(key, sid) of the first members of each set, once for equal sets of a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, owners = [], []
+            keys, owners, seen = [], [], set()
             for t in as_bytes(batch.column("text")):
                 s = shingles(t, width)
-                if len(s):
-                    keys.append(part_keys(s, percent))
-                    owners.append(np.full(len(keys[-1]), _sid(digest(s)), np.int64))
-            if not keys:
-                continue
-            key, owner = np.concatenate(keys).view(np.int64), np.concatenate(owners)
-            order = np.lexsort((owner, key))
-            key, owner = key[order], owner[order]
-            first = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
-            lead = owner[np.flatnonzero(first)][np.cumsum(first) - 1]
-            meets = np.unique(np.column_stack([lead, owner])[lead != owner], axis=0)
-            yield _rows(key[first], owner[first], None)
-            if len(meets):
-                yield _rows(None, meets[:, 0], meets[:, 1])
+                sid = _sid(digest(s))
+                if len(s) and sid not in seen:
+                    seen.add(sid)
+                    keys.append(first_members(s, percent, counts).view(np.int64))
+                    owners.append(np.full(len(keys[-1]), sid, np.int64))
+            if keys:
+                yield _table({"key": np.concatenate(keys), "sid": np.concatenate(owners)})
 
     return run
 
 
-def _rows(key, sid, other) -> pa.RecordBatch:
-    n = len(sid)
-    columns = [pa.nulls(n, pa.int64()) if x is None else pa.array(x, pa.int64()) for x in (key, sid, other)]
-    return pa.RecordBatch.from_arrays(columns, ["key", "sid", "other"])
+def _table(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns.values()], list(columns))
 
 
-def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key to links between the first sid of each key and its others; rows without key are links already."""
-    last_key, last_lead = None, 0
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, np.ndarray]]:
+    """Sids of each key that several sets have, from rows sorted by key and sid; a long run comes in pieces (more, sids)."""
+    last = np.zeros((0, 2), np.int64)
     for batch in batches:
-        keyless = batch.column("key").is_null().to_numpy(zero_copy_only=False)
-        whole, batch = batch.filter(pa.array(keyless)), batch.filter(pa.array(~keyless))
-        if whole.num_rows:
-            yield pa.RecordBatch.from_arrays([whole.column("sid"), whole.column("other")], ["a", "b"])
-        if not batch.num_rows:
+        rows = np.column_stack([batch.column("key").to_numpy(), batch.column("sid").to_numpy()])
+        rows = np.concatenate([last, rows])
+        fresh = np.concatenate([[True], (rows[1:] != rows[:-1]).any(1)])
+        rows = rows[fresh]
+        starts = np.flatnonzero(np.concatenate([[True], rows[1:, 0] != rows[:-1, 0]]))
+        ends = np.append(starts[1:], len(rows))
+        for a, b in zip(starts[:-1], ends[:-1], strict=True) if len(starts) > 1 else ():
+            if b - a > 1:
+                yield False, rows[a:b, 1]
+        last = rows[starts[-1] :]
+        if len(last) > RUN:
+            yield True, last[:, 1]
+            last = last[[0, -1]]  # the run goes on from its first sid
+    if len(last) > 1:
+        yield False, last[:, 1]
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(team, sid) of sets that share a member; members that the same sets have make one team. Links where a run is long."""
+    teams, sids, seen = [], [], set()
+    for more, run in _runs(batches):
+        if more or len(run) > RUN:
+            yield _linked(np.full(len(run) - 1, run[0]), run[1:])
+            continue
+        team = int(mixed(np.array([mixed(run.view(np.uint64)).sum() + np.uint64(len(run))], np.uint64)).view(np.int64)[0])
+        if team in seen:
             continue
-        key, sid = batch.column("key").to_numpy(), batch.column("sid").to_numpy()
-        first = np.concatenate([[True], key[1:] != key[:-1]])
-        lead = sid[np.flatnonzero(first)][np.cumsum(first) - 1]
-        if key[0] == last_key:
-            lead[key == last_key] = last_lead
-        last_key, last_lead = key[-1], lead[-1]
-        meets = np.unique(np.column_stack([lead, sid])[lead != sid], axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(meets[:, 0], pa.int64()), pa.array(meets[:, 1], pa.int64())], ["a", "b"])
+        if len(seen) > 1_000_000:
+            seen.clear()
+        seen.add(team)
+        teams.append(np.full(len(run), team, np.int64))
+        sids.append(run)
+        if len(teams) >= 10_000:
+            yield _teamed(np.concatenate(teams), np.concatenate(sids))
+            teams, sids = [], []
+    if teams:
+        yield _teamed(np.concatenate(teams), np.concatenate(sids))
+
+
+def _teamed(team: np.ndarray, sid: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(team), pa.array(sid), pa.nulls(len(team), pa.int64())], ["team", "sid", "other"])
+
+
+def _linked(sid: np.ndarray, other: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.nulls(len(sid), pa.int64()), pa.array(sid), pa.array(other)], ["team", "sid", "other"])
+
+
+def _within_reach(percent: int):
+    """Links between sets of a team that the bounds of their points allow; rows are sorted by team."""
+
+    def links(sids, sizes, points) -> list[tuple[int, int]]:
+        grid = np.frombuffer(b"".join(points), np.int32).reshape(-1, COARSE)
+        return [(sids[i], sids[j]) for i, j in reachable_links(grid, np.array(sizes), percent)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, team, held = [], None, ([], [], [])
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("team", "sid", "n", "point")]
+            for now, *row in zip(*columns, strict=True):
+                if now != team:
+                    if len(held[0]) > 1:
+                        found += links(*held)
+                    team, held = now, ([], [], [])
+                for into, value in zip(held, row, strict=True):
+                    into.append(value)
+            if found:
+                yield _table(dict(zip(("a", "b"), np.unique(np.array(found, np.int64), axis=0).T, strict=True)))
+                found = []
+        if len(held[0]) > 1:
+            found += links(*held)
+        if found:
+            yield _table(dict(zip(("a", "b"), np.unique(np.array(found, np.int64), axis=0).T, strict=True)))
+
+    return run
+
+
+def blocks_of(docs: DataFrame, profile: DataFrame, counts: np.ndarray, width: int, percent: int) -> DataFrame:
+    """node (a sid) and component: sets that may be linked share a component."""
+    spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    emitted = docs.mapInArrow(_firsts(width, percent, counts), "key long, sid long")
+    shared = emitted.repartition(spread, "key").sortWithinPartitions("key", "sid").mapInArrow(_shared, "team long, sid long, other long")
+    shared = stored(shared, "ngram-shared")
+    points = profile.where("n > 0").groupBy("sid").agg(F.first("n").alias("n"), F.first("point").alias("point"))
+    teams = shared.where("team IS NOT NULL").select("team", "sid").distinct().join(points, "sid")
+    links = teams.repartition(spread, "team").sortWithinPartitions("team").mapInArrow(_within_reach(percent), "a long, b long")
+    return components(links.unionByName(shared.where("other IS NOT NULL").select(F.col("sid").alias("a"), F.col("other").alias("b"))))
 
 
 def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[list[dict]]:
@@ -200,12 +275,11 @@ def joined(docs: DataFrame, width: int = 4, percent: int = 85, tile_members: int
     """doc_id, n_shingles and component_id of each row of docs."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    profile = stored(docs.mapInArrow(_profile(width), "doc_id long, n long, digest binary, sid long"), "ngram-profile")
+    profile = stored(docs.mapInArrow(_profile(width), "doc_id long, n long, digest binary, sid long, point binary, sketch binary"), "ngram-profile")
+    counts = bucket_counts(profile)
+    profile = profile.where("sketch IS NULL").drop("sketch")
     sets = stored(profile.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sid").alias("sid")), "ngram-sets")
-    emitted = docs.mapInArrow(_parts(width, percent), "key long, sid long, other long")
-    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = emitted.repartition(spread, F.coalesce("key", "other")).sortWithinPartitions("key")
-    blocks = components(dealt.mapInArrow(_meeting, "a long, b long").distinct())
+    blocks = blocks_of(docs, profile, counts, width, percent)
     members = sets.where(F.col("rep").isNotNull()).join(blocks, F.col("sid") == F.col("node")).select("rep", "digest", "n", F.col("component").alias("block"))
     sizes = members.groupBy("block").agg(F.sum("n").alias("total"), F.count("*").alias("sets"))
     sizes = sizes.where("sets > 1").withColumn("tiles", F.ceil(F.col("total") / tile_members).cast("int")).select("block", "tiles")

@@ -12,9 +12,9 @@ GROUPS = 128
 FAN = 16
 
 
-def point(members: np.ndarray) -> np.ndarray:
-    """Count vector of a set of 64-bit hashes."""
-    return np.bincount((members & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype(np.int32)
+def point(members: np.ndarray, groups: int = GROUPS) -> np.ndarray:
+    """Count vector of a set of 64-bit hashes; groups is a power of two."""
+    return np.bincount((members & np.uint64(groups - 1)).astype(np.int64), minlength=groups).astype(np.int32)
 
 
 class RTree:
@@ -77,6 +77,37 @@ class Groups:
         self.root[self.root == gone] = keep
 
 
+def reachable_links(points: np.ndarray, sizes: np.ndarray, percent: int, stars: int = 8) -> list[tuple[int, int]]:
+    """Links that connect whatever the bounds of the points allow to be linked; at most one fewer than there are points.
+
+    Some points are first held against all others at once. Only what isn't in the largest group then is looked up in a tree:
+    of two points that aren't connected yet, one at least is asked.
+    """
+    groups, found = Groups(len(sizes)), []
+
+    def link(i: int, near: np.ndarray) -> None:
+        for j in near.tolist():
+            if groups.root[i] != groups.root[j]:
+                groups.join(i, j)
+                found.append((i, j))
+
+    def outside() -> np.ndarray:
+        return np.flatnonzero(groups.root != np.bincount(groups.root).argmax())
+
+    i = 0
+    for _ in range(stars):
+        bound = np.minimum(points, points[i]).sum(1)
+        link(i, np.flatnonzero(RTree._may(bound, sizes, sizes, int(sizes[i]), percent)))
+        rest = outside()
+        if not len(rest):
+            return found
+        i = int(rest[0])
+    tree = RTree(points, sizes)
+    for i in rest.tolist():
+        link(i, tree.reaching(points[i], int(sizes[i]), percent)[0])
+    return found
+
+
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """Whether two sorted sets without repeats have 100 * shared >= percent * union."""
     if len(a) > len(b):
