@@ -6,6 +6,7 @@ import re
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def common_subsequence(a: str, b: str) -> int:
@@ -50,11 +51,11 @@ def name_score(a: str, b: str) -> float:
     return max(token_sort_ratio(a, b), 0.98 * token_set_ratio(a, b))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def name_score_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else name_score(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def token_sort_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else token_sort_ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")

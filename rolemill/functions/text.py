@@ -10,6 +10,7 @@ from urllib.parse import parse_qsl, quote_plus, urlsplit
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BLANKS = " \t\n\r\f\v"
 
@@ -111,13 +112,13 @@ def page_title(c) -> Column:
     return F.nullif(squeezed(F.regexp_extract(F.coalesce(F.col(c), F.lit("")), r"(?is)<title[^>]*>(.*?)</title>", 1)), F.lit(""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def accents_folded(texts: pd.Series) -> pd.Series:
     """Letters without their marks; built-ins have no normal forms."""
     return texts.map(lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescaped(texts: pd.Series) -> pd.Series:
     """All HTML entities resolved, twice, since sources escape twice."""
     return texts.map(lambda t: None if t is None else html.unescape(html.unescape(t)))
@@ -146,7 +147,7 @@ def _canonical(url: str | None) -> str | None:
     return f"{scheme}://{at}{path}" + (f"?{query}" if query else "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def canonical_url(urls: pd.Series) -> pd.Series:
     """One spelling for one address: scheme and host in lower case, no default port, no tracking, parameters sorted."""
     return urls.map(_canonical)

@@ -138,15 +138,16 @@ class Outcome:
     pairs: DataFrame
 
 
-def exact_passes(rows: DataFrame) -> DataFrame:
+def exact_passes(rows: DataFrame, cut=lambda df: df) -> DataFrame:
+    """The passes that compare keys only; each reads its input several times, so that it pays to cut between them."""
     for one in (by_url, by_text, by_id, by_core_and_country, by_core):
-        rows = one(rows)
-    return rows
+        rows = one(cut(rows))
+    return cut(rows)
 
 
 def deduplicated(rows: DataFrame, cut=lambda df: df) -> Outcome:
     """All passes over keys(). cut: what ends the lineage of a table that is read several times."""
-    rows = cut(by_similar_title(cut(exact_passes(rows))))
+    rows = cut(by_similar_title(exact_passes(rows, cut)))
     pairs = cut(gated_pairs(rows))
     rows = cut(rows.join(pairs, F.col("seq") == F.col("donor"), "left_anti"))
     more = cut(similar_gated_pairs(rows))

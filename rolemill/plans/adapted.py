@@ -9,14 +9,14 @@ LISTING = {
     "seq": "doc_id",
     "ats_type": "CASE doc_id % 9 WHEN 0 THEN 'greenhouse' WHEN 1 THEN 'lever' WHEN 2 THEN 'welcometothejungle' WHEN 3 THEN 'eightfold' WHEN 4 THEN 'eures' WHEN 5 THEN 'builtin' WHEN 6 THEN 'seek' WHEN 7 THEN 'infojobs_es' ELSE 'workday' END",
     "url": "'https://jobs.example.org/' || CAST(CASE WHEN doc_id % 40 = 7 THEN doc_id - 7 ELSE doc_id END AS VARCHAR(20))",
-    "title": "regexp_extract(text, '^[^ ]+( [^ ]+){0,2}', 0) || CASE WHEN doc_id % 5 = 0 THEN ' (m/w/d)' WHEN doc_id % 11 = 0 THEN ' (m/w/d) (Code X)' ELSE '' END",
+    "title": "regexp_extract(text, '^[^ ]+( [^ ]+){0,2}', 0) || CASE WHEN doc_id % 5 = 0 THEN ' (m/w/d)' WHEN doc_id % 11 = 0 THEN ' (m/w/d) (Code X)' WHEN doc_id % 9 = 2 THEN ' (Team)' ELSE ', Team' END",
     "company": "CASE WHEN doc_id % 53 = 0 THEN 'n/a' WHEN doc_id % 59 = 0 THEN 'jobs.acme.com' ELSE 'Firm ' || upper(substr(text, 1, 2)) || CASE WHEN doc_id % 2 = 0 THEN ', Inc.' ELSE ' INC' END END",
     "location": "CASE WHEN doc_id % 17 = 0 THEN 'Remote - US' WHEN lang = 'en' THEN 'Austin, TX' WHEN lang = 'fr' THEN 'Paris, France' WHEN lang = 'de' THEN 'DE (DE300)' ELSE 'Madrid, Spain' END",
     "country_iso": "CASE WHEN doc_id % 3 = 0 THEN '' WHEN lang = 'en' THEN 'US' WHEN lang = 'fr' THEN 'FR' WHEN lang = 'de' THEN 'DE' ELSE 'ES' END",
     "ats_id": "CASE WHEN doc_id % 4 = 0 THEN '' ELSE 'j' || CAST(length(text) AS VARCHAR(20)) END",
     "is_remote": "CASE doc_id % 5 WHEN 0 THEN true WHEN 1 THEN false ELSE NULL END",
-    "salary_min": "CASE WHEN doc_id % 4 = 1 THEN 30000.0 + doc_id % 100 * 1000.0 WHEN doc_id % 97 = 2 THEN 9000000.0 ELSE NULL END",
-    "salary_max": "CASE WHEN doc_id % 4 = 1 THEN 50000.0 + doc_id % 100 * 1000.0 ELSE NULL END",
+    "salary_min": "CAST(CASE WHEN doc_id % 4 = 1 THEN 30000 + doc_id % 100 * 1000 WHEN doc_id % 97 = 2 THEN 9000000 ELSE NULL END AS DOUBLE)",
+    "salary_max": "CAST(CASE WHEN doc_id % 4 = 1 THEN 50000 + doc_id % 100 * 1000 ELSE NULL END AS DOUBLE)",
     "salary_currency": "CASE WHEN doc_id % 2 = 0 THEN 'USD' ELSE 'SEK' END",
     "salary_period": "CASE WHEN doc_id % 6 = 5 THEN 'HOUR' ELSE 'YEAR' END",
     "salary_summary": "CASE WHEN doc_id % 31 = 0 THEN '$65.00 per hour' WHEN doc_id % 4 = 1 THEN '$30K - $50K per year' ELSE '' END",

@@ -44,7 +44,7 @@ def published(listings: DataFrame, sightings: DataFrame, now: str, cut: Callable
     """listings: rows of all sources with seq, their order of ingest. cut: ends the lineage of a table read several times."""
     tagged = cut(derived(listings).withColumn("quarantine_reason", quarantine.reason(listings, now)))
     kept, rejected = tagged.where("quarantine_reason IS NULL").drop("quarantine_reason"), tagged.where("quarantine_reason IS NOT NULL")
-    found = dedup.deduplicated(cut(dedup.keys(kept)), cut)
+    found = dedup.deduplicated(dedup.keys(kept), cut)
     survivors = kept.join(found.survivors.select("seq"), "seq", "left_semi")
     rows = dedup.donated(survivors, kept, found.pairs)
     rows = stamped(rows, sightings, F.lit(now).cast("timestamp"))
