@@ -19,6 +19,7 @@ from rolemill.functions.similarity import token_sort_ratio
 from rolemill.functions.text import company_norm, title_core, title_slug, trimmed
 from rolemill.operators.groups import first_of, with_group
 from rolemill.operators.listings import col_or, source_rank
+from rolemill.shared import stored
 
 BLOCK_LIMIT = 5000
 TITLE_BAR, GATED_BAR = 90.0, 95.0
@@ -138,14 +139,18 @@ class Outcome:
     pairs: DataFrame
 
 
-def exact_passes(rows: DataFrame, cut=lambda df: df) -> DataFrame:
-    """The passes that compare keys only; each reads its input several times, so that it pays to cut between them."""
+def written(df: DataFrame) -> DataFrame:
+    return stored(df, "dedup-keys")
+
+
+def exact_passes(rows: DataFrame, cut=written) -> DataFrame:
+    """The passes that compare keys only. Each reads its input several times, so that lineage is cut between them."""
     for one in (by_url, by_text, by_id, by_core_and_country, by_core):
         rows = one(cut(rows))
     return cut(rows)
 
 
-def deduplicated(rows: DataFrame, cut=lambda df: df) -> Outcome:
+def deduplicated(rows: DataFrame, cut=written) -> Outcome:
     """All passes over keys(). cut: what ends the lineage of a table that is read several times."""
     rows = cut(by_similar_title(exact_passes(rows, cut)))
     pairs = cut(gated_pairs(rows))
