@@ -6,7 +6,7 @@ sequence is the one shingle. Two documents link when 100 * intersection >= perce
 1. Equal sets become one, named by the smallest doc_id that has it.
 2. Sets are dealt to blocks so that linked sets always share one. All members have a place in one order, rarest first. As
    linked sets share at least percent of each one's members, they share one of the first members of each, so many that
-   the rest of it would be too few. Each set emits those members. Among sets with a common one, the bounds of their points in a coarse
+   the rest of it would be too few. Each set emits those members. Among sets with a common one, the bounds of their points in an
    R-tree tell which may be linked, and sets that such possible links connect are one block. Members that many sets have, as
    those of common passages, come last in the order, so that they bring together only sets that have little else. Where more than RUN sets have a
    member, all of them are one block.
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from rolemill.llm.common import stored
 from rolemill.llm.components import components
-from rolemill.llm.rtree import point, reachable_links, spanning_links
+from rolemill.llm.rtree import fine_groups, point, reachable_links, spanning_links
 from rolemill.llm.textarrays import as_bytes, lowered, mixed, windows, word_hashes
 
 #: Members of all sets in a tile, at most, but for a set that is larger by itself.
@@ -45,8 +45,8 @@ TILE_MEMBERS = 400_000
 PIVOTS = 24
 #: Buckets in which members are counted, and rows in which the counts meet.
 SKETCH, SUMS = 1 << 19, 8
-#: Coordinates of the points by which blocks are made; and sets with a common member that are held against each other.
-COARSE, RUN = 32, 5000
+#: Sets with a common member that are held against each other.
+RUN = 5000
 
 
 def shingles(data: bytes, width: int) -> np.ndarray:
@@ -86,7 +86,7 @@ def _profile(width: int):
             sizes, digests, points = [], [], []
             for t in as_bytes(batch.column("text")):
                 s = shingles(t, width)
-                points.append(point(s, COARSE).tobytes())
+                points.append(point(s, fine_groups(len(s))).astype(np.uint16).tobytes())
                 np.add.at(sketch, sketched(s), 1)
                 sizes.append(len(s))
                 digests.append(digest(s))
@@ -196,7 +196,7 @@ def _within_reach(percent: int):
     """Links between sets of a team that the bounds of their points allow; rows are sorted by team."""
 
     def links(sids, sizes, points) -> list[tuple[int, int]]:
-        grid = np.frombuffer(b"".join(points), np.int32).reshape(-1, COARSE)
+        grid = [np.frombuffer(x, np.uint16) for x in points]
         return [(sids[i], sids[j]) for i, j in reachable_links(grid, np.array(sizes), percent)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

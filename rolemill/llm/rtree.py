@@ -77,35 +77,58 @@ class Groups:
         self.root[self.root == gone] = keep
 
 
-def reachable_links(points: np.ndarray, sizes: np.ndarray, percent: int, stars: int = 8) -> list[tuple[int, int]]:
-    """Links that connect whatever the bounds of the points allow to be linked; at most one fewer than there are points.
+def fine_groups(size: int) -> int:
+    """Coordinates of the point of a set that is told apart from unrelated ones of its size: about one for eight members."""
+    return max(32, 1 << (-(-size // 8) - 1).bit_length())
 
-    Some points are first held against all others at once. Only what isn't in the largest group then is looked up in a tree:
-    of two points that aren't connected yet, one at least is asked.
+
+def folded(point: np.ndarray, groups: int) -> np.ndarray:
+    """The point of the same set with fewer groups."""
+    return point.reshape(-1, groups).sum(0)
+
+
+def reachable_links(points: list[np.ndarray], sizes: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links that connect whatever the bounds of the points allow to be linked; points have fine_groups() coordinates.
+
+    Sets that can be linked have equal numbers of coordinates, or one has twice as many; of each pair the smaller number counts.
     """
     groups, found = Groups(len(sizes)), []
+    widths = np.array([len(x) for x in points])
+    for width in np.unique(widths):
+        near = np.flatnonzero((widths == width) | (widths == 2 * width))
+        grid = np.array([folded(points[i], width) for i in near], np.int64)
+        _reach(grid, sizes[near], widths[near] == width, near, percent, groups, found)
+    return found
+
+
+def _reach(points, sizes, asked, names, percent: int, groups: Groups, found: list, stars: int = 8) -> None:
+    """Adds links of pairs with an asked point. Some asked points are first held against all others at once. Only what isn't
+    in the largest group then is looked up in a tree: of two points that aren't connected yet, one at least is.
+    """
 
     def link(i: int, near: np.ndarray) -> None:
         for j in near.tolist():
-            if groups.root[i] != groups.root[j]:
-                groups.join(i, j)
-                found.append((i, j))
+            a, b = int(names[i]), int(names[j])
+            if groups.root[a] != groups.root[b]:
+                groups.join(a, b)
+                found.append((a, b))
 
-    def outside() -> np.ndarray:
-        return np.flatnonzero(groups.root != np.bincount(groups.root).argmax())
-
-    i = 0
+    rest = np.arange(len(sizes))
     for _ in range(stars):
+        first = rest[asked[rest]]
+        if not len(first):
+            break
+        i = int(first[0])
         bound = np.minimum(points, points[i]).sum(1)
         link(i, np.flatnonzero(RTree._may(bound, sizes, sizes, int(sizes[i]), percent)))
-        rest = outside()
-        if not len(rest):
-            return found
-        i = int(rest[0])
+        roots = groups.root[names]
+        rest = np.flatnonzero(roots != np.bincount(roots).argmax())
+    if not len(rest):
+        return
     tree = RTree(points, sizes)
     for i in rest.tolist():
-        link(i, tree.reaching(points[i], int(sizes[i]), percent)[0])
-    return found
+        near = tree.reaching(points[i], int(sizes[i]), percent)[0]
+        link(i, near if asked[i] else near[asked[near]])
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:

@@ -91,7 +91,13 @@ def test_rtree_reaches_all_similar_sets():
                     root = [a if r == b else r for r in root]
         return root
 
+    sizes = np.array([len(s) for s in sets])
+    points = [rtree.point(s, rtree.fine_groups(len(s))).astype(np.uint16) for s in sets]
     for percent in (70, 85):
+        loose = rtree.Groups(len(sets))
+        for i, j in rtree.reachable_links(points, sizes, percent):
+            loose.join(i, j)
+        assert all(loose.root[i] == loose.root[j] for i in range(len(sets)) for j in range(i) if rtree.similar(sets[i], sets[j], percent))
         groups = rtree.Groups(len(sets))
         for i, j in rtree.spanning_links(sets, percent):
             assert rtree.similar(sets[i], sets[j], percent)
