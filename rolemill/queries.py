@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rolemill.functions import classify, fixed
 from rolemill.functions import places as geo
+from rolemill.functions import postings as po
 from rolemill.functions import text as tx
 from rolemill.operators import companies as co
 from rolemill.operators import dedup, groups, profile, quarantine, search, sinks, state
@@ -185,6 +186,43 @@ def employment_kinds(spark, sf):
     return listings(spark, sf).select("seq", classify.employment_type("commitment").alias("kind"))
 
 
+_URLS = [("https://boards.greenhouse.io/Acme/jobs/1", "greenhouse", "acme"), ("https://jobs.lever.co/acme-co", "lever", "acme-co"), ("https://acme.recruitee.com/o/x", "recruitee", "acme"), ("https://acme.wd5.myworkdayjobs.com/Ext", "workday", "acme"), ("acme.jobs.personio.de", "personio", "acme"), ("https://join.com/companies/acme", "join_com", "acme"), ("https://example.com/careers", None, None)]
+
+
+@query("SELECT doc_id, t.ats, t.slug FROM documents JOIN (VALUES " + ", ".join(f"({i}, {_opt(a)}, {_opt(b)})" for i, (_, a, b) in enumerate(_URLS)) + f") t(i, ats, slug) ON doc_id % {len(_URLS)} = t.i")
+def careers_urls(spark, sf):
+    rows = table(spark, sf, "documents").select("doc_id", F.element_at(F.array(*[F.lit(u) for u, _, _ in _URLS]), (F.col("doc_id") % len(_URLS)).cast("int") + 1).alias("url"))
+    return rows.withColumn("b", po.board_of(F.col("url"))).select("doc_id", "b.ats", "b.slug")
+
+
+_PROSE = [("Annual Salary: $320,000 — $405,000 USD and stock", 320000.0, 405000.0, "USD", "YEAR"), ("Pay range €80k to €95k", 80000.0, 95000.0, "EUR", "YEAR"), ("We pay $25.50 - $31.00 per hour.", 25.5, 31.0, "USD", "HOUR"), ("Between $5 and $7 off", None, None, None, None), ("No figures here", None, None, None, None)]
+
+
+@query("SELECT doc_id, t.a AS low, t.b AS high, t.c AS currency, t.p AS period FROM documents JOIN (VALUES " + ", ".join(f"({i}, {'NULL' if a is None else a}::DOUBLE, {'NULL' if b is None else b}::DOUBLE, {_opt(c)}, {_opt(p)})" for i, (_, a, b, c, p) in enumerate(_PROSE)) + f") t(i, a, b, c, p) ON doc_id % {len(_PROSE)} = t.i")
+def disclosed_pay(spark, sf):
+    rows = table(spark, sf, "documents").select("doc_id", F.element_at(F.array(*[F.lit(x[0]) for x in _PROSE]), (F.col("doc_id") % len(_PROSE)).cast("int") + 1).alias("d"))
+    return rows.withColumn("p", po.disclosed_pay(F.col("d"), F.lit("US"))).select("doc_id", F.col("p.min").alias("low"), F.col("p.max").alias("high"), "p.currency", "p.period")
+
+
+@query("SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 12500 WHEN 1 THEN 900 WHEN 2 THEN NULL ELSE NULL END::BIGINT AS employees FROM documents")
+def headcounts(spark, sf):
+    said = F.array(F.lit("We had 12,500 employees and 300 associates."), F.lit("It has 900 full-time employees."), F.lit("We laid off 200 employees."), F.lit("no number"))
+    return table(spark, sf, "documents").select("doc_id", po.headcount(F.element_at(said, (F.col("doc_id") % 4).cast("int") + 1)).alias("employees"))
+
+
+@query("""WITH g AS (SELECT user_id, min('Welcome to team ' || user_id || ': ' || event_type) AS a, max('Welcome to team ' || user_id || ': ' || event_type) AS z, count(*) AS rows FROM events GROUP BY user_id)
+ SELECT user_id, rows, left(a, (SELECT max(i) FROM range(0, length(a) + 1) r(i) WHERE left(a, i::INT) = left(z, i::INT))::INT) AS opening FROM g WHERE rows >= 3""")
+def common_openings(spark, sf):
+    rows = table(spark, sf, "events").select("user_id", F.concat(F.lit("Welcome to team "), F.col("user_id").cast("string"), F.lit(": "), "event_type").alias("text"))
+    return po.common_openings(rows, ["user_id"], "text", 3, 1)
+
+
+@query("SELECT doc_id, CASE WHEN length(text) > length(left(text, 500)) THEN text ELSE left(text, 500) END AS description FROM documents")
+def description_cache(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("cached"), F.substring("text", 1, 500).alias("fresh"))
+    return docs.select("doc_id", state.longer_wins(F.col("cached"), F.col("fresh")).alias("description"))
+
+
 # ---- joins ----
 
 @query("SELECT c_custkey, count(o_orderkey) AS n FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_orderstatus = 'F' GROUP BY c_custkey")
@@ -324,6 +362,12 @@ def dedup_gated_pairs(spark, sf):
     return dedup.gated_pairs(dedup.exact_passes(dedup.keys(listings(spark, sf)), lambda df: stored(df, "keys")))
 
 
+@query()
+def dedup_similar_titles(spark, sf):
+    """Rows that the pass over similar titles keeps; greedy in order, so held against small fixtures instead of SQL."""
+    return dedup.by_similar_title(dedup.exact_passes(dedup.keys(listings(spark, sf)))).select("seq", "ats_type", "norm", "title")
+
+
 @query()
 def publish_snapshot(spark, sf):
     from rolemill.plans.publish import published
