@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import contextlib
 import tempfile
 import uuid
 
@@ -38,14 +37,6 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Delete a shared intermediate folder through Hadoop's file system, whatever store it is in."""
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    with contextlib.suppress(Exception):
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def text_of(column: str = "text") -> Column:
     """The whole text, null counting as empty."""
     return F.coalesce(F.col(column), F.lit(""))
@@ -56,6 +47,21 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
 
 
-def renamed_apart(df: DataFrame, wanted: list[str]) -> DataFrame:
-    """Only the wanted columns, so that extra columns of the input can clash with nothing that is added later."""
-    return df.select(*[F.col(f"`{c}`") for c in wanted])
+#: Bits of a bitmap over hashes, and bits in a piece of it: 2 MB in 512 pieces at most, whatever the size of the corpus.
+MARK_BITS, PIECE_BITS = 1 << 24, 32768
+
+
+def _bit(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(MARK_BITS))
+
+
+def likely_in(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """Rows whose value of column is among keys (one column of that name), and a few others: a filter of fixed size.
+
+    It spares a join from shuffling rows without a partner. With more keys than bits it lets all rows pass.
+    """
+    bits = keys.select(_bit(column).alias("__bit"))
+    pieces = bits.groupBy((F.col("__bit") / PIECE_BITS).cast("int").alias("__piece")).agg(F.bitmap_construct_agg(F.col("__bit") % PIECE_BITS).alias("__bitmap"))
+    marked = rows.withColumn("__bit", _bit(column)).join(F.broadcast(pieces), (F.col("__bit") / PIECE_BITS).cast("int") == F.col("__piece"))
+    byte = F.conv(F.hex(F.substring("__bitmap", ((F.col("__bit") % PIECE_BITS) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return marked.where(F.getbit(byte, (F.col("__bit") % 8).cast("int")) == 1).drop("__bit", "__piece", "__bitmap")

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rolemill.llm.common import stored
+from rolemill.llm.common import likely_in, stored
 from rolemill.llm.components import components
 from rolemill.llm.rtree import fine_groups, point, reachable_links, spanning_links
 from rolemill.llm.textarrays import as_bytes, lowered, mixed, windows, word_hashes
@@ -285,7 +285,7 @@ def joined(docs: DataFrame, width: int = 4, percent: int = 85, tile_members: int
     sizes = sizes.where("sets > 1").withColumn("tiles", F.ceil(F.col("total") / tile_members).cast("int")).select("block", "tiles")
     members = stored(members.join(sizes, "block"), "ngram-members")
     tiled = _tiled(members)
-    texts = docs.select(F.col("doc_id").alias("rep"), "text")
+    texts = likely_in(docs.select(F.col("doc_id").alias("rep"), "text"), "rep", members.select("rep"))
     links = stored(_in_groups(tiled.join(texts, "rep"), ["block", "tile"], _links(width, percent, ["block", "tile"], False)), "ngram-links")
     rest = _unsettled(members, links)
     if rest is not None:
