@@ -139,4 +139,6 @@ def judged(docs: DataFrame, rules: list[Rule] | None = None, sample_rows: int =
 def passing(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The documents that no rule rejects, with their own columns only, whatever those are called."""
     held = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__own"))
-    return judged(held, sample_rows=sample_rows).where("kept").select("__own.*")
+    # The row number keeps the filter above the counts: pushed below, it would compute them again for each rule.
+    marked = judged(held, sample_rows=sample_rows).withColumn("__row", F.monotonically_increasing_id())
+    return marked.where("kept").select("__own.*")
