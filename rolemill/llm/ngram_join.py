@@ -142,8 +142,8 @@ def _table(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, np.ndarray]]:
-    """Sids of each key that several sets have, from rows sorted by key and sid; a long run comes in pieces (more, sids)."""
-    last = np.zeros((0, 2), np.int64)
+    """Sids of each key that several sets have, from rows sorted by key and sid; a long run comes in pieces (True, sids)."""
+    last, flushed = np.zeros((0, 2), np.int64), False
     for batch in batches:
         rows = np.column_stack([batch.column("key").to_numpy(), batch.column("sid").to_numpy()])
         rows = np.concatenate([last, rows])
@@ -153,20 +153,21 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, np.ndarray]
         ends = np.append(starts[1:], len(rows))
         for a, b in zip(starts[:-1], ends[:-1], strict=True) if len(starts) > 1 else ():
             if b - a > 1:
-                yield False, rows[a:b, 1]
+                yield flushed and a == 0, rows[a:b, 1]
+        flushed = flushed and len(starts) == 1
         last = rows[starts[-1] :]
         if len(last) > RUN:
             yield True, last[:, 1]
-            last = last[[0, -1]]  # the run goes on from its first sid
+            last, flushed = last[[0, -1]], True  # the run goes on from its first sid, however little is left of it
     if len(last) > 1:
-        yield False, last[:, 1]
+        yield flushed, last[:, 1]
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(team, sid) of sets that share a member; members that the same sets have make one team. Links where a run is long."""
     teams, sids, seen = [], [], set()
-    for more, run in _runs(batches):
-        if more or len(run) > RUN:
+    for long, run in _runs(batches):
+        if long or len(run) > RUN:
             yield _linked(np.full(len(run) - 1, run[0]), run[1:])
             continue
         team = int(mixed(np.array([mixed(run.view(np.uint64)).sum() + np.uint64(len(run))], np.uint64)).view(np.int64)[0])

@@ -116,6 +116,20 @@ def test_linked_sets_share_a_first_member():
             assert set(ngram_join.first_members(a, 85, counts)) & set(ngram_join.first_members(b, 85, counts))
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 4, 5, 7, 100])
+def test_long_runs_stay_whole_across_batches(monkeypatch, size):
+    monkeypatch.setattr(ngram_join, "RUN", 3)
+    runs = {1: 2, 2: 13, 3: 1, 4: 4, 5: 3, 6: 9, 7: 2}
+    rows = np.array([(k, 100 * k + i) for k, n in runs.items() for i in range(n)], np.int64)
+    batches = [ngram_join._table({"key": x[:, 0], "sid": x[:, 1]}) for x in (rows[i : i + size] for i in range(0, len(rows), size))]
+    links, teams = {}, {}
+    for batch in ngram_join._shared(iter(batches)):
+        for r in batch.to_pylist():
+            (teams if r["other"] is None else links).setdefault(r["team"] if r["other"] is None else r["sid"], set()).add(r["sid"] if r["other"] is None else r["other"])
+    assert links == {100 * k: {100 * k + i for i in range(1, n)} for k, n in runs.items() if n > 3}
+    assert sorted(map(sorted, teams.values())) == [[100 * k + i for i in range(n)] for k, n in runs.items() if 1 < n <= 3]
+
+
 def test_packing_keeps_all_and_overfills_nothing():
     rng = np.random.default_rng(8)
     sizes = np.sort(rng.integers(1, 4097, 3000))[::-1]
