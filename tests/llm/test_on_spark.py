@@ -1,6 +1,7 @@
 """Each operator over one small table with nulls, empty and long texts, ties, repeated rows and clashing extra columns."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -152,6 +153,25 @@ def test_rowwise_operators(spark, docs, none, rows):
     assert [x.count() for x in (secrets.scanned(none), packing.packed_documents(none), lm_scoring.scored(none, lm_scoring.trained(none, empty), empty), language_id.identified(none, language_id.trained(*language_id.sample(none))))] == [0] * 4
 
 
+def test_language_model_counts_words_apart_that_share_a_bucket(spark, monkeypatch):
+    seen = {}
+    for i in range(5000):
+        common, rare = seen.setdefault(int(lm_scoring.word_buckets(f"w{i}".encode())[0]), f"w{i}"), f"w{i}"
+        if common != rare:
+            break
+    assert common != rare
+    texts = [common, rare, (common + " ") * 49, None, "", common]
+    docs = spark.createDataFrame([(i if i else None, t) for i, t in enumerate(texts, 0)], "doc_id long, text string").repartition(3)
+    vocabulary = lm_scoring.vocabulary(docs)
+    network = lm_scoring.trained(docs, vocabulary)
+    for chunk in (lm_scoring.CHUNK, 1):
+        monkeypatch.setattr(lm_scoring, "CHUNK", chunk)
+        got = {r.doc_id: r for r in lm_scoring.scored(docs, network, vocabulary).collect()}
+        assert {k: r.n_words for k, r in got.items()} == {None: 1, 1: 1, 2: 49, 3: 0, 4: 0, 5: 1}
+        assert got[5].log_prob - got[1].log_prob == pytest.approx(math.log(51)) and got[None].log_prob == got[5].log_prob
+        assert (got[3].log_prob, got[3].mean_log_prob) == (0, None)
+
+
 def test_pipeline(spark, rows, tmp_path):
     pipeline = pytest.importorskip("corpus_pipeline")
     spark.createDataFrame([r[:5] for r in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
