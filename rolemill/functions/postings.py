@@ -46,15 +46,20 @@ def _money(number: Column, unit: Column) -> Column:
 
 def disclosed_pay(description: Column, country: Column) -> Column:
     """struct(min, max, currency, period) of the first pay range in prose; small amounts need a label or a period beside them."""
+    # The passage is looked for once in the whole text; its parts are read from the passage.
+    return F.transform(F.array(F.regexp_extract(description, _PAY, 0)), lambda passage: _pay_of(passage, country))[0]
+
+
+def _pay_of(passage: Column, country: Column) -> Column:
     def part(i: int) -> Column:
-        return F.regexp_extract(description, _PAY, i)
+        return F.regexp_extract(passage, _PAY, i)
 
     low, high = _money(part(3), part(4)), _money(part(5), part(6))
     near = F.concat(part(1), F.lit(" "), part(8))
     period = F.coalesce(pay_period(near), F.when(low >= 10000, "YEAR"))
     trusted = (low >= 10000) | near.rlike(_LABEL) | period.isNotNull()
     pay = F.struct(F.least(low, high).alias("min"), F.greatest(low, high).alias("max"), F.coalesce(F.nullif(F.upper(part(7)), F.lit("")), currency(part(2), country)).alias("currency"), period.alias("period"))
-    return F.when(description.rlike(_PAY) & low.isNotNull() & high.isNotNull() & trusted, pay)
+    return F.when(passage.rlike(_PAY) & low.isNotNull() & high.isNotNull() & trusted, pay)
 
 
 def headcount(text: Column) -> Column:

@@ -15,7 +15,7 @@ from rolemill.operators import companies as co
 from rolemill.operators import dedup, groups, profile, quarantine, search, sinks, state
 from rolemill.operators.listings import source_rank, typed, union_relaxed
 from rolemill.plans import enrich
-from rolemill.plans.adapted import LISTINGS_SQL, NOW, listings, table
+from rolemill.plans.adapted import LISTING, LISTINGS_SQL, NOW, listings, table
 from rolemill.shared import shared_path, stored
 from rolemill.sources import payloads
 from rolemill.streaming import ingest
@@ -210,6 +210,47 @@ def headcounts(spark, sf):
     return table(spark, sf, "documents").select("doc_id", po.headcount(F.element_at(said, (F.col("doc_id") % 4).cast("int") + 1)).alias("employees"))
 
 
+# The six queries above hold the rules against sentences with known answers; those below run them over the tables' own columns, all rows of
+# them, which SQL can't express.
+
+def _postings(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """Columns of the postings of all documents, those without a text as well."""
+    return table(spark, sf, "documents").selectExpr("doc_id", *[f"{LISTING[c]} AS {c}" for c in columns])
+
+
+@query()
+def posting_countries(spark, sf):
+    return _postings(spark, sf, "location").withColumn("country", geo.country_of(F.col("location")))
+
+
+@query()
+def posting_classes(spark, sf):
+    rows = _postings(spark, sf, "title", "location")
+    return rows.select("doc_id", "title", classify.seniority().alias("seniority"), classify.placement("title", "location").alias("placement"), classify.is_remote().alias("remote"))
+
+
+@query()
+def posting_pay(spark, sf):
+    rows = _postings(spark, sf, "salary_summary").withColumn("pay", classify.salary_range())
+    return rows.select("doc_id", "salary_summary", F.col("pay.min").alias("low"), F.col("pay.max").alias("high"))
+
+
+@query()
+def page_boards(spark, sf):
+    return table(spark, sf, "pages").withColumn("b", po.board_of(F.col("url"))).select("page_id", "url", "b.ats", "b.slug")
+
+
+@query()
+def described_pay(spark, sf):
+    rows = _postings(spark, sf, "description", "country_iso").withColumn("p", po.disclosed_pay(F.col("description"), F.col("country_iso")))
+    return rows.select("doc_id", F.col("p.min").alias("low"), F.col("p.max").alias("high"), "p.currency", "p.period")
+
+
+@query()
+def described_headcounts(spark, sf):
+    return _postings(spark, sf, "description").select("doc_id", po.headcount(F.col("description")).alias("employees"))
+
+
 @query("""WITH g AS (SELECT user_id, min('Welcome to team ' || user_id || ': ' || event_type) AS a, max('Welcome to team ' || user_id || ': ' || event_type) AS z, count(*) AS rows FROM events GROUP BY user_id)
  SELECT user_id, rows, left(a, (SELECT max(i) FROM range(0, length(a) + 1) r(i) WHERE left(a, i::INT) = left(z, i::INT))::INT) AS opening FROM g WHERE rows >= 3""")
 def common_openings(spark, sf):
