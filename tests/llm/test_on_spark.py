@@ -172,6 +172,14 @@ def test_language_model_counts_words_apart_that_share_a_bucket(spark, monkeypatc
         assert (got[3].log_prob, got[3].mean_log_prob) == (0, None)
 
 
+def test_near_stage_takes_five_words_and_four_fifths(spark):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    words = [f"w{i}" for i in range(50)]
+    changed = [*words[:25], "other", *words[26:]]  # 41 of 51 shingles of five words, 43 of 51 of four
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(changed)), (3, "something else entirely is said here")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in pipeline.near(spark, docs, "").collect()) == [1, 3]
+
+
 def test_pipeline(spark, rows, tmp_path):
     pipeline = pytest.importorskip("corpus_pipeline")
     spark.createDataFrame([r[:5] for r in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
