@@ -1,4 +1,4 @@
-"""Companies: cohorts of tenants, matching against reference names, floors and bands, funding."""
+"""Companies: cohorts of tenants, matching against reference names, floors, funding."""
 
 from __future__ import annotations
 
