@@ -47,7 +47,8 @@ def _money(number: Column, unit: Column) -> Column:
 def disclosed_pay(description: Column, country: Column) -> Column:
     """struct(min, max, currency, period) of the first pay range in prose; small amounts need a label or a period beside them."""
     # The passage is looked for once in the whole text; its parts are read from the passage.
-    return F.transform(F.array(F.regexp_extract(description, _PAY, 0)), lambda passage: _pay_of(passage, country))[0]
+    found = F.when(description.rlike(rf"(?is){_MONEY}\s*(?:-|–|—|to|and)\s*{_MONEY}"), F.regexp_extract(description, _PAY, 0))
+    return F.transform(F.array(found), lambda passage: _pay_of(passage, country))[0]
 
 
 def _pay_of(passage: Column, country: Column) -> Column:
