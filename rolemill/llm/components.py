@@ -1,43 +1,90 @@
-"""Connected components of a table of links, by alternating large-star and small-star steps over DataFrames.
+"""Connected components of a table of links, in rounds of pointer jumps over DataFrames.
 
-Each round is two aggregations with partial sums and two joins; a round's links are written to the shared folder, so that
-neither lineage nor any one task grows. No links are gathered on the driver, only their number and a checksum.
+Links point from the larger node to the smaller one. A round sends each link on to the smallest node that its end points at,
+and deals links by their larger node. Before and after that, every task replaces the links that it meets by a forest in which
+each node points at the smallest one of its tree; so a node has a row a task at most, however many links it has. A round's
+links are written to the shared folder, so that neither lineage nor any one task grows. Nothing is gathered on the driver
+but whether a round still found something to do: rows that moved, or nodes that pointed at several others.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rolemill.llm.common import stored
 
+SCHEMA = "a long, b long, moved boolean"
+#: Links that a task holds before it makes a forest of them, and nodes of a forest before it is sent on.
+HELD, FOREST = 1 << 19, 1 << 22
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each node of these links but the smallest of its tree, and that smallest node; hooks and jumps until nothing moves."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    u, v = at[: len(a)], at[len(a) :]
+    up = np.arange(len(nodes))
+    while True:
+        before, above = up.copy(), up[up]
+        for x, y in ((u, v), (v, u)):
+            np.minimum.at(up, before[x], above[y])
+            np.minimum.at(up, x, above[y])
+        up = np.minimum(up, up[up])
+        if (up == before).all():
+            break
+    below = np.flatnonzero(up != np.arange(len(nodes)))
+    return nodes[below], nodes[up[below]]
+
+
+def _rows(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(np.zeros(len(a), bool))], ["a", "b", "moved"])
 
-def _large(links: DataFrame) -> DataFrame:
-    """Each node's larger neighbours now point at its smallest one."""
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
 
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of a task as forests. Where rows are sorted by a and b, a node that points at several others is noticed.
 
-def _small(links: DataFrame) -> DataFrame:
-    """Each node and its smaller neighbours now point at the smallest of them; links go from larger to smaller."""
-    least = links.groupBy("a").agg(F.min("b").alias("m"))
-    down = links.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return down.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+    A row without nodes says that there is more to do.
+    """
+    tree, held, size, moved, last = (np.zeros(0, np.int64),) * 2, [], 0, False, None
+    for batch in batches:
+        moved = moved or bool(batch.column("moved").to_numpy(zero_copy_only=False).any())
+        rows = batch.filter(batch.column("a").is_valid())
+        a, b = rows.column("a").to_numpy(), rows.column("b").to_numpy()
+        if not len(a):
+            continue
+        moved = moved or bool(((a[1:] == a[:-1]) & (b[1:] != b[:-1])).any()) or (last is not None and last[0] == a[0] and last[1] != b[0])
+        last = a[-1], b[-1]
+        held.append((a, b))
+        size += len(a)
+        if size >= HELD:
+            tree, held, size = forest(*(np.concatenate(x) for x in zip(tree, *held, strict=True))), [], 0
+            if len(tree[0]) >= FOREST:
+                yield _rows(*tree)
+                tree = (np.zeros(0, np.int64),) * 2
+    if held:
+        tree = forest(*(np.concatenate(x) for x in zip(tree, *held, strict=True)))
+    if len(tree[0]):
+        yield _rows(*tree)
+    if moved:
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([True])], ["a", "b", "moved"])
 
 
-def components(links: DataFrame, rounds: int = 50) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """links: a, b, numbers of nodes. Each node that has a link to another, with the smallest node of its component."""
-    turned = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    now, sums = stored(turned, "links"), None
-    for _ in range(rounds):
-        after = stored(_small(_large(now)), "links")
-        seen = after.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b") % 1_000_003).alias("s")).head()
-        now = after
-        if sums == (seen["n"], seen["s"]) or not seen["n"]:
+    spread = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    turned = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), F.lit(False).alias("moved"))
+    now = stored(turned.mapInArrow(_contracted, SCHEMA), "links").where("a IS NOT NULL")
+    while True:
+        least = now.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "c")
+        jumped = now.join(least.hint("merge"), F.col("b") == F.col("c"), "left").select("a", F.coalesce("m", "b").alias("b"), F.col("m").isNotNull().alias("moved"))
+        dealt = jumped.mapInArrow(_contracted, SCHEMA).repartition(spread, "a").sortWithinPartitions("a", "b")
+        after = stored(dealt.mapInArrow(_contracted, SCHEMA), "links")
+        now = after.where("a IS NOT NULL")
+        if after.where("moved").isEmpty():
             break
-        sums = (seen["n"], seen["s"])
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
     roots = now.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
