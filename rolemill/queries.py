@@ -16,6 +16,7 @@ from rolemill.operators import dedup, groups, profile, quarantine, search, sinks
 from rolemill.operators.listings import source_rank, typed, union_relaxed
 from rolemill.plans import enrich
 from rolemill.plans.adapted import LISTING, LISTINGS_SQL, NOW, listings, table
+from rolemill.plans.samples import SAMPLES
 from rolemill.shared import shared_path, stored
 from rolemill.sources import payloads
 from rolemill.streaming import ingest
@@ -90,12 +91,28 @@ def page_facts(spark, sf):
     return table(spark, sf, "pages").select("page_id", tx.page_title("html").alias("title"), tx.domain_of("url").alias("host"))
 
 
-@query("SELECT 'greenhouse' AS ats_type, 'Nation ' || n_name AS title, n_nationkey::VARCHAR AS ats_id, r_name AS company, 'https://x.example/' || n_nationkey::VARCHAR AS url FROM nation JOIN region ON n_regionkey = r_regionkey")
+def _filled(template: str | None) -> str:
+    """SQL, for Spark and DuckDB alike, of a text with its placeholders filled in from a row of documents."""
+    if template is None:
+        return "CAST(NULL AS VARCHAR(9))"
+    text = "'" + template.replace("'", "''") + "'"
+    for mark, value in (("@I", "CAST(doc_id AS VARCHAR(20))"), ("@T", "'Role ' || CAST(n_chars AS VARCHAR(20))"), ("@C", "'Town ' || upper(lang)")):
+        text = f"replace({text}, '{mark}', {value})"
+    return text
+
+
+_BOARDS = sorted(SAMPLES)
+@query("SELECT x.ats_type AS ats_type, x.ats_id AS ats_id, x.title AS title, x.url AS url, x.location AS location FROM (SELECT CASE " + " ".join(
+    f"WHEN doc_id % {len(_BOARDS)} = {k} THEN struct_pack(ats_type := '{s}', ats_id := {_filled(SAMPLES[s].ats_id)}, title := {_filled('@T')}, url := {_filled(SAMPLES[s].url)}, location := {_filled(SAMPLES[s].location)})"
+    for k, s in enumerate(_BOARDS)) + " END AS x FROM documents WHERE lang IS NOT NULL)")
 def board_payloads(spark, sf):
-    nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
-    job = F.struct(F.col("n_nationkey").cast("string").alias("id"), F.concat(F.lit("Nation "), "n_name").alias("title"), F.concat(F.lit("https://x.example/"), "n_nationkey").alias("absolute_url"))
-    made = nation.join(region, nation.n_regionkey == region.r_regionkey).groupBy(F.col("r_name").alias("company")).agg(F.to_json(F.struct(F.collect_list(job).alias("jobs"))).alias("payload"))
-    return payloads.postings(made, "greenhouse").select("ats_type", "title", "ats_id", "company", "url")
+    """A payload of one of all boards for each document, written by board and read back."""
+    docs = table(spark, sf, "documents").where("lang IS NOT NULL")
+    which = lambda value: "CASE " + " ".join(f"WHEN doc_id % {len(_BOARDS)} = {k} THEN {value(b)}" for k, b in enumerate(_BOARDS)) + " END"
+    path = shared_path(spark, "payloads")
+    made = docs.selectExpr(f"{which(lambda b: repr(b))} AS source", "'acme' AS company", f"{which(lambda b: _filled(SAMPLES[b].payload))} AS payload")
+    made.write.partitionBy("source").parquet(path)
+    return payloads.mixed_postings(spark.read.parquet(path)).select("ats_type", "ats_id", "title", "url", "location")
 
 
 # ---- projections and filters ----

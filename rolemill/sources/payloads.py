@@ -1,41 +1,21 @@
-"""Saved payloads of job boards as postings: JSON, JSON for linked data in pages, and feeds of XML.
+"""Saved payloads of job boards as postings: JSON, JSON inside pages, HTML cards, linked data and feeds of XML.
 
-A board is a row of a table: where its items lie and which path holds which field. A board not listed reads like the common
-shape. Live fetching is not part of this; payloads come as a table (source, company, payload) or as files.
+A board is a row of a table in boards.py: where its items lie and how each field is read from one. A board not listed reads
+like the common shape. Live fetching is not part of this; payloads come as a table (company, payload) or as files.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-from dataclasses import dataclass, field
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-
-FIELDS = ["ats_id", "title", "url", "location", "description", "posted_at", "department", "commitment", "salary_min", "salary_max", "salary_currency"]
-
-
-@dataclass(frozen=True)
-class Board:
-    """items: path of the list of postings; paths: field to path within an item."""
 
-    items: str = "$.jobs"
-    paths: dict[str, str] = field(default_factory=dict)
+from rolemill.sources.boards import BOARDS, COMMON, Board
+from rolemill.sources.cells import Item, tagged
 
-
-COMMON = {"ats_id": "$.id", "title": "$.title", "url": "$.url", "location": "$.location", "description": "$.description", "posted_at": "$.posted_at", "department": "$.department", "commitment": "$.employment_type"}
-# --- fixed values: where public board payloads hold their fields ---
-BOARDS = {
-    "greenhouse": Board("$.jobs", {"url": "$.absolute_url", "location": "$.location.name", "description": "$.content", "posted_at": "$.updated_at"}),
-    "lever": Board("$", {"title": "$.text", "url": "$.hostedUrl", "location": "$.categories.location", "description": "$.descriptionPlain", "department": "$.categories.department", "commitment": "$.categories.commitment", "salary_min": "$.salaryRange.min", "salary_max": "$.salaryRange.max", "salary_currency": "$.salaryRange.currency"}),
-    "ashby": Board("$.jobs", {"url": "$.jobUrl", "description": "$.descriptionHtml", "posted_at": "$.publishedAt", "commitment": "$.employmentType"}),
-    "smartrecruiters": Board("$.content", {"title": "$.name", "url": "$.ref", "location": "$.location.city", "posted_at": "$.releasedDate", "department": "$.department.label"}),
-    "recruitee": Board("$.offers", {"url": "$.careers_url", "posted_at": "$.published_at", "commitment": "$.employment_type_code"}),
-    "workable": Board("$.jobs", {"ats_id": "$.shortcode", "posted_at": "$.published_on", "commitment": "$.type"}),
-    "remoteok": Board("$", {"title": "$.position", "posted_at": "$.date", "salary_min": "$.salary_min", "salary_max": "$.salary_max"}),
-    "usajobs": Board("$.SearchResult.SearchResultItems", {"ats_id": "$.MatchedObjectId", "title": "$.MatchedObjectDescriptor.PositionTitle", "url": "$.MatchedObjectDescriptor.PositionURI"}),
+#: Fields of a posting with their types; what a board doesn't have is null.
+FIELDS = {
+    "ats_id": "string", "title": "string", "url": "string", "apply_url": "string", "location": "string", "is_remote": "boolean", "department": "string", "team": "string", "commitment": "string",
+    "requisition_id": "string", "description": "string", "posted_at": "timestamp", "salary_min": "double", "salary_max": "double", "salary_currency": "string", "salary_period": "string", "salary_summary": "string",
 }
 
 
@@ -43,20 +23,42 @@ def board(source: str) -> Board:
     return BOARDS.get(source, Board())
 
 
-def items_of(payload: Column, path: str) -> Column:
-    """The JSON text of each item of the list at path."""
-    return F.from_json(payload if path == "$" else F.get_json_object(payload, path), "array<string>")
+def _items(payloads: DataFrame, b: Board) -> DataFrame:
+    """company, payload and item: one row an item of each payload."""
+    if b.card:
+        return payloads.select("company", "payload", F.explode(F.regexp_extract_all("payload", F.lit(f"(?is){b.card}"), 1)).alias("item"))
+    if b.element:
+        return payloads.select("company", "payload", F.explode(F.regexp_extract_all("payload", F.lit(rf"(?s)(<{b.element}\b.*?</{b.element}>)"), 1)).alias("item"))
+    text = F.regexp_extract("payload", b.script, 1) if b.script else F.col("payload")
+    parsed = payloads.select("company", F.try_parse_json(text).alias("payload"))
+    listed = b.items(F.col("payload")) if b.items else F.coalesce(*[F.try_variant_get("payload", p, "array<variant>") for p in b.paths])
+    return parsed.select("company", "payload", F.explode(listed).alias("item"))
+
+
+def _cell(c: Column, kind: str) -> Column:
+    return F.nullif(F.trim(c), F.lit("")) if kind == "string" else c.cast(kind)
 
 
 def postings(payloads: DataFrame, source: str) -> DataFrame:
-    """One row an item, each id once within a company; payload: JSON text, company: its tenant."""
+    """One row an item with an id and a title, each id once within a company; payload: its text, company: its tenant."""
     b = board(source)
-    items = payloads.select("company", F.explode(items_of(F.col("payload"), b.items)).alias("item"))
-    paths = COMMON | b.paths
-    cells = [F.get_json_object("item", paths[f]).alias(f) if f in paths else F.lit(None).cast("string").alias(f) for f in FIELDS]
-    rows = items.select(F.lit(source).alias("ats_type"), "company", *cells)
-    first = rows.groupBy("company", "ats_id").agg(F.min(F.struct(*[c for c in rows.columns if c not in ("company", "ats_id")])).alias("x"))
-    return first.select("company", "ats_id", "x.*").select(*rows.columns).withColumns({c: F.col(c).try_cast("double") for c in ("salary_min", "salary_max")})
+    cells = (COMMON if not (b.card or b.element) else {}) | b.fields
+    at = Item(F.col("item"), F.col("company"), F.col("payload"))
+    employer = F.coalesce(cells["company"](at), F.col("company")) if "company" in cells else F.col("company")
+    read = [_cell(cells[f](at), kind).alias(f) if f in cells else F.lit(None).cast(kind).alias(f) for f, kind in FIELDS.items()]
+    rows = _items(payloads, b).select(F.lit(source).alias("ats_type"), F.col("company").alias("tenant"), employer.alias("company"), *read).where("ats_id IS NOT NULL AND title IS NOT NULL")
+    rest = [c for c in rows.columns if c not in ("tenant", "ats_id")]
+    first = rows.groupBy("tenant", "ats_id").agg(F.min(F.struct(*rest)).alias("x"))
+    return first.select("ats_id", "x.*").select("ats_type", "company", *FIELDS)
+
+
+def mixed_postings(payloads: DataFrame) -> DataFrame:
+    """Postings of payloads of many boards at once; source: the board of each."""
+    parts = [postings(payloads.where(F.col("source") == s), s) for s in sorted(BOARDS)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def linked_postings(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -66,36 +68,14 @@ def linked_postings(pages: DataFrame, html: str = "html") -> DataFrame:
     return rows.withColumns({"title": F.get_json_object("__ld", "$.title"), "company": F.get_json_object("__ld", "$.hiringOrganization.name"), "posted_at": F.get_json_object("__ld", "$.datePosted")}).drop("__ld")
 
 
-def feed_postings(feeds: DataFrame, item: str = "item") -> DataFrame:
+def feed_postings(feeds: DataFrame, element: str = "item") -> DataFrame:
     """Items of an XML feed; payload: its text."""
-    rows = feeds.select("company", F.explode(F.regexp_extract_all("payload", F.lit(rf"(?s)(<{item}\b.*?</{item}>)"), 1)).alias("item"))
-    return rows.select("company", F.xpath_string("item", F.lit(f"{item}/guid")).alias("ats_id"), F.xpath_string("item", F.lit(f"{item}/title")).alias("title"), F.xpath_string("item", F.lit(f"{item}/link")).alias("url"))
-
-
-class PayloadSource(DataSource):
-    """spark.read.format("board_payloads").option("path", ...): a line of JSON a payload, a file a partition."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "board_payloads"
-
-    def schema(self) -> str:
-        return "source string, company string, payload string"
-
-    def reader(self, schema) -> DataSourceReader:
-        return _PayloadReader(self.options["path"].split(","))
-
-
-class _PayloadReader(DataSourceReader):
-    def __init__(self, paths: list[str]):
-        self.paths = paths
+    at = Item(F.col("item"), F.col("company"), F.col("payload"))
+    cells = {"ats_id": tagged("guid"), "title": tagged("title"), "url": tagged("link")}
+    return _items(feeds, Board(element=element)).select("company", *[c(at).alias(n) for n, c in cells.items()])
 
-    def partitions(self) -> list[InputPartition]:
-        return [InputPartition(p) for p in self.paths]
 
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        with open(partition.value, encoding="utf-8") as lines:
-            for line in lines:
-                if line.strip():
-                    row = json.loads(line)
-                    yield row.get("source"), row.get("company"), json.dumps(row.get("payload"))
+def read_payloads(spark, path: str) -> DataFrame:
+    """source, company and payload of files with a line of JSON each, from any store that Spark reads."""
+    lines = spark.read.text(path).select(F.try_parse_json("value").alias("v")).where("v IS NOT NULL")
+    return lines.select(*[F.try_variant_get("v", f"$.{c}", "string").alias(c) for c in ("source", "company", "payload")])
