@@ -67,8 +67,11 @@ def parse_order(parse: np.ndarray, longest: int) -> np.ndarray:
     return rank
 
 
-def repeated(texts: list[bytes], live: list[int], length: int) -> list[np.ndarray]:
-    """For each text, which of its first live starts begin a string of this length that another live start begins too."""
+def repeated(texts: list[bytes], live: list[int], lengths: tuple[int, ...]) -> list[list[np.ndarray]]:
+    """For each text and each length, which of its first live starts begin a string of this length that another live start begins too.
+
+    lengths ascend. One order serves all of them: strings that agree in their first bytes are neighbours in it.
+    """
     phrases: dict[bytes, int] = {}
     parse: list[int] = []
     where: list[tuple[int, list[int]]] = []
@@ -90,7 +93,7 @@ def repeated(texts: list[bytes], live: list[int], length: int) -> list[np.ndarra
     for n, (t, count) in enumerate(zip(texts, live, strict=True)):
         at, cuts = where[n]
         k = 0
-        for i in range(min(count, len(t) - length + 1)):
+        for i in range(min(count, len(t) - lengths[0] + 1)):
             while k + 1 < len(cuts) and cuts[k + 1] <= i:
                 k += 1
             end = cuts[k + 1] + TRIGGER if k + 1 < len(cuts) else len(t)
@@ -98,19 +101,22 @@ def repeated(texts: list[bytes], live: list[int], length: int) -> list[np.ndarra
             second.append(at + k + 1)
             text_of.append(n)
             start_of.append(i)
-    found = [np.zeros(max(0, c), bool) for c in live]
+    found = [[np.zeros(max(0, c), bool) for _ in lengths] for c in live]
     if len(first) < 2:
         return found
     tail_rank = np.empty(len(tails), np.int64)
     for rank, tail in enumerate(sorted(tails)):
         tail_rank[tails[tail]] = rank
     corpus = np.lexsort((ranks[np.array(second)], tail_rank[np.array(first)])).tolist()
-    before = None
-    for j in corpus:
-        t, i = texts[text_of[j]], start_of[j]
-        now = t[i : i + length]
-        if before is not None and now == before[0]:
-            found[text_of[j]][i] = True
-            found[text_of[before[1]]][start_of[before[1]]] = True
-        before = (now, j)
+    before: bytes | None = None
+    for m, j in enumerate(corpus):
+        t, i = text_of[j], start_of[j]
+        now = texts[t][i : i + lengths[-1]]
+        if before is not None:
+            u, h = text_of[corpus[m - 1]], start_of[corpus[m - 1]]
+            for k, n in enumerate(lengths):
+                if len(now) < n or now[:n] != before[:n]:
+                    break
+                found[t][k][i] = found[u][k][h] = True
+        before = now
     return found
