@@ -155,3 +155,52 @@ EMPLOYMENT_WORDS = {
         "tempo determinato", "派遣",
     ],
 }
+
+# --- fixed values: parameters of an address that say where a reader came from, and fragments that are places on a page ---
+TRACKING_PARAMETERS = {
+    "gh_src", "gh_jid_src", "lever_source", "lever-source", "lever_via", "source", "src", "ref", "referrer", "referer", "fbclid",
+    "gclid", "msclkid", "mc_cid", "mc_eid", "trk", "trackingid", "tracking_id", "recruiter", "iis", "iisn", "campaign", "medium",
+}
+TRACKING_PREFIX = "utm_"
+PAGE_ANCHORS = {
+    "", "apply", "apply-now", "applynow", "top", "main", "content", "header", "footer", "details", "job-details", "jobdetails",
+    "description", "overview",
+}
+
+# --- fixed values: legal forms that end a company's name; keys that name no company; words of boards in a path ---
+LEGAL_FORMS = [
+    "inc", "incorporated", "corp", "corporation", "co", "company", "ltd", "limited", "llc", "llp", "lp", "plc", "gmbh", "ag", "sa",
+    "sas", "srl", "bv", "nv", "oy", "ab", "as", "kk", "pty", "holding", "holdings", "group",
+]
+STOP_KEYS = [
+    "", "careers", "career", "jobs", "job", "corporate", "company", "inc", "llc", "ltd", "group", "holdings", "the", "test", "demo", "hr",
+    "recruiting", "talent", "hiring", "external", "internal", "main", "home", "default", "new", "us", "usa", "global",
+]
+PATH_NOISE = [
+    "external", "internal", "site", "sites", "career", "careers", "job", "jobs", "search", "professional", "experienced", "campus",
+    "student", "students", "global", "us", "usa", "corporate", "main", "portal", "candidate", "candidates", "apply", "hiring", "talent",
+    "recruiting", "general", "central", "east", "west", "north", "south", "domestic", "subsidiary", "new", "prod", "live", "tap",
+    "gateway", "home", "default", "opportunities", "erp", "cx", "ext",
+]
+
+# --- fixed values: scripts that belong to one language ---
+SCRIPTS = [
+    ("ja", "[\u3040-\u309f\u30a0-\u30ff]"), ("ko", "[\uac00-\ud7af\u1100-\u11ff]"), ("th", "[\u0e00-\u0e7f]"), ("he", "[\u0590-\u05ff]"),
+    ("ar", "[\u0600-\u06ff]"), ("el", "[\u0370-\u03ff]"), ("hi", "[\u0900-\u097f]"), ("zh", "[\u4e00-\u9fff]"),
+]
+#: Own choice: some of the commonest words of languages written in Latin letters, by which they are told apart.
+COMMON_WORDS = {
+    "de": ["der", "die", "und", "den", "das", "mit", "ist", "nicht", "ein", "für"],
+    "en": ["the", "of", "and", "to", "is", "that", "for", "with", "was", "by"],
+    "es": ["el", "los", "las", "por", "con", "una", "del", "para", "que", "y"],
+    "fr": ["le", "les", "et", "des", "une", "est", "pour", "dans", "au", "qui"],
+    "it": ["il", "di", "che", "per", "un", "non", "sono", "gli", "della", "e"],
+    "nl": ["het", "een", "van", "en", "niet", "zijn", "voor", "op", "ook", "te"],
+    "pl": ["w", "na", "się", "nie", "jest", "do", "że", "jak", "i", "z"],
+    "pt": ["o", "os", "uma", "não", "com", "para", "do", "em", "mais", "as"],
+    "sv": ["och", "att", "det", "som", "en", "är", "av", "inte", "med", "till"],
+}
+
+# --- fixed values: industries of funds, and business codes of sponsors that employ nobody ---
+FUND_INDUSTRIES = ["Pooled Investment Fund", "Other Investment Fund", "Investing", "Commercial Banking"]
+NO_EMPLOYER_CODES = ["813930", "813940", "525100", "525110", "525120", "525190", "525900", "524290"]

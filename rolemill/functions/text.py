@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import html
-import re
 import unicodedata
-from urllib.parse import parse_qsl, quote_plus, urlsplit
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -15,6 +14,11 @@ from pyspark.sql import types as T
 BLANKS = " \t\n\r\f\v"
 
 
+def held(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once however often use reads it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def trimmed(c) -> Column:
     """Null as empty, blanks of all kinds gone at both ends."""
     c = F.col(c) if isinstance(c, str) else c
@@ -62,29 +66,17 @@ def digest32(*parts: Column) -> Column:
     return F.substring(F.sha2(F.concat_ws("\0", *parts), 256), 1, 32)
 
 
-def job_key(url: Column) -> Column:
-    return digest32(F.lit("v1"), F.lit("url"), url)
-
-
-def content_hash(title="title", description="description", location="location", summary="salary_summary", commitment="commitment", employment="employment_type", truncate: int = 8000) -> Column:
-    """Digest of what a posting says; blanks are collapsed before the description is cut."""
-    return digest32(squeezed(title), F.substring(squeezed(description), 1, truncate), *[squeezed(c) for c in (location, summary, commitment, employment)])
-
-
-def slugify(c) -> Column:
-    return F.regexp_replace(F.regexp_replace(F.lower(trimmed(c)), "[^a-z0-9]+", "-"), "^-+|-+$", "")
-
-
 def estimate_tokens(c) -> Column:
     return F.greatest(F.lit(1), F.floor(F.length(c) / 3.6)).cast("int")
 
 
 def without_suffix(c, rounds: int = 4) -> Column:
     """A company name without the legal forms it ends with; a name that is nothing else stays."""
+    ends = r"[\s,.]+(inc|incorporated|corp|corporation|co|company|ltd|limited|llc|llp|lp|plc|gmbh|ag|sa|sas|srl|bv|nv|oy|ab|as|kk|pty|holdings?|group)\.?$"
+    less = lambda own: held(trimmed(F.regexp_replace(own, ends, "")), lambda left: F.when(F.length(left) > 0, left).otherwise(own))
     now = squeezed(F.regexp_replace(F.lower(trimmed(c)), r"\s*&\s*", " and "))
     for _ in range(rounds):
-        less = trimmed(F.regexp_replace(now, r"[\s,.]+(inc|incorporated|corp|corporation|co|company|ltd|limited|llc|llp|lp|plc|gmbh|ag|sa|sas|srl|bv|nv|oy|ab|as|kk|pty|holdings?|group)\.?$", ""))
-        now = F.when(F.length(less) > 0, less).otherwise(now)
+        now = held(now, less)
     return now
 
 
@@ -122,32 +114,3 @@ def accents_folded(texts: pd.Series) -> pd.Series:
 def unescaped(texts: pd.Series) -> pd.Series:
     """All HTML entities resolved, twice, since sources escape twice."""
     return texts.map(lambda t: None if t is None else html.unescape(html.unescape(t)))
-
-
-# --- fixed values: parameters of a url that say where a reader came from ---
-TRACKING = set("fbclid gclid dclid msclkid yclid mc_cid mc_eid igshid ref referrer source src gh_src lever-source lever_origin trk trkinfo origin refid campaign medium utm".split())
-
-
-def _canonical(url: str | None) -> str | None:
-    if url is None or not url.strip():
-        return None
-    bare = re.sub(r"\s+", "", url)
-    try:
-        parts = urlsplit(bare if "://" in bare else "https://" + bare)
-        host, port = (parts.hostname or "").lower(), parts.port
-    except ValueError:
-        return bare
-    if not host:
-        return bare
-    scheme = parts.scheme.lower()
-    at = host if port in (None, {"http": 80, "https": 443}.get(scheme)) else f"{host}:{port}"
-    kept = sorted((k, v) for k, v in parse_qsl(parts.query) if k.lower() not in TRACKING and not k.lower().startswith("utm_"))
-    path = parts.path[:-1] if parts.path.endswith("/") else parts.path
-    query = "&".join(f"{quote_plus(k)}={quote_plus(v)}" for k, v in kept)
-    return f"{scheme}://{at}{path}" + (f"?{query}" if query else "")
-
-
-@F.pandas_udf(T.StringType())
-def canonical_url(urls: pd.Series) -> pd.Series:
-    """One spelling for one address: scheme and host in lower case, no default port, no tracking, parameters sorted."""
-    return urls.map(_canonical)

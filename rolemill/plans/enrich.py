@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from rolemill.functions import classify
 from rolemill.functions.places import country_of
-from rolemill.functions.text import content_hash, job_key, present
+from rolemill.functions.keys import content_hash, job_key
+from rolemill.functions.text import present
 
 #: Fields that a model could still answer when rules can't.
 ANSWERABLE = ["seniority", "employment_type", "placement", "experience"]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolemill.functions import classify, fixed
+from rolemill.functions import classify, fixed, keys
 from rolemill.functions import places as geo
 from rolemill.functions import postings as po
 from rolemill.functions import text as tx
@@ -77,10 +77,11 @@ def stable_prefix(spark, sf):
     return table(spark, sf, "documents").select("doc_id", "source").orderBy("doc_id").limit(40)
 
 
-@query("""WITH b AS (SELECT doc_id, octet_length(encode(text)) + 1 AS bytes, floor((row_number() OVER w - 1) / 100) AS r,
- floor((sum(octet_length(encode(text)) + 1) OVER w - octet_length(encode(text)) - 1) / 200000) AS b FROM documents WHERE text IS NOT NULL WINDOW w AS (ORDER BY doc_id)),
- s AS (SELECT *, dense_rank() OVER (ORDER BY r, b) - 1 AS shard FROM b)
- SELECT shard, count(*) AS rows, sum(bytes)::BIGINT AS bytes FROM s GROUP BY shard""")
+@query("""WITH RECURSIVE b AS (SELECT row_number() OVER (ORDER BY doc_id) AS i, octet_length(encode(text)) + 1 AS bytes FROM documents WHERE text IS NOT NULL),
+ g AS (SELECT i, 0 AS shard, 1 AS held, bytes AS total, bytes FROM b WHERE i = 1 UNION ALL
+  SELECT b.i, CASE WHEN g.held + 1 > 100 OR g.total + b.bytes > 200000 THEN g.shard + 1 ELSE g.shard END, CASE WHEN g.held + 1 > 100 OR g.total + b.bytes > 200000 THEN 1 ELSE g.held + 1 END,
+   CASE WHEN g.held + 1 > 100 OR g.total + b.bytes > 200000 THEN b.bytes ELSE g.total + b.bytes END, b.bytes FROM g JOIN b ON b.i = g.i + 1)
+ SELECT shard, count(*) AS rows, sum(bytes)::BIGINT AS bytes FROM g GROUP BY shard""")
 def line_shards(spark, sf):
     rows = sinks.sharded(table(spark, sf, "documents").where("text IS NOT NULL").select("doc_id", "text"), "doc_id", "text", 100, 200_000)
     return rows.groupBy("shard").agg(F.count("*").alias("rows"), F.sum("bytes").alias("bytes"))
@@ -122,9 +123,9 @@ def posting_keys(spark, sf):
     return listings(spark, sf).select("seq", tx.company_norm().alias("norm"), tx.title_slug().alias("slug"), tx.seen_key().alias("seen"), tx.global_id().alias("global_id"))
 
 
-@query(f"{_L} SELECT seq, substr(sha256('v1' || chr(0) || 'url' || chr(0) || url), 1, 32) AS job_key, greatest(1, floor(length(description) / 3.6))::INT AS tokens FROM l")
+@query(f"{_L} SELECT seq, substr(sha256('v1|url' || chr(0) || url), 1, 32) AS job_key, greatest(1, floor(length(description) / 3.6))::INT AS tokens FROM l")
 def posting_digests(spark, sf):
-    return listings(spark, sf).select("seq", tx.job_key(F.col("url")).alias("job_key"), tx.estimate_tokens(F.col("description")).alias("tokens"))
+    return listings(spark, sf).select("seq", keys.job_key(F.col("url")).alias("job_key"), tx.estimate_tokens(F.col("description")).alias("tokens"))
 
 
 @query(f"{_L} SELECT seq, title FROM l WHERE contains(lower(title), 'th') AND contains(lower(location), 'austin') AND coalesce(salary_max, 0) >= 60000")

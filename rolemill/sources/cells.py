@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rolemill.functions.text import visible_text
+from rolemill.functions.text import held, visible_text
 
 
 @dataclass(frozen=True)
@@ -31,11 +31,6 @@ def _filled(c: Column) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
 
 
-def held(value: Column, use: Callable[[Column], Column]) -> Column:
-    """use(value), with value computed once however often use reads it."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def _path(path: str) -> str:
     return "$" if path == "$" else f"$.{path}" if path[0] != "[" else f"${path}"
 
