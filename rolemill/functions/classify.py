@@ -78,17 +78,11 @@ def pay_disclosed(salary_min: Column, summary: Column, description: Column) -> C
     return present(salary_min).isNotNull() | present(summary).isNotNull() | F.coalesce(said, F.lit(False))
 
 
-# --- fixed values: signs and codes of currencies ---
-CURRENCY_CODES = "USD EUR GBP CAD AUD NZD CHF SEK NOK DKK PLN CZK HUF JPY CNY INR BRL MXN SGD HKD ZAR".split()
-CURRENCY_SIGNS = [("CA$", "CAD"), ("A$", "AUD"), ("NZ$", "NZD"), ("HK$", "HKD"), ("S$", "SGD"), ("R$", "BRL"), ("£", "GBP"), ("€", "EUR"), ("¥", "JPY"), ("₹", "INR"), ("zł", "PLN")]
-DOLLARS = {"CA": "CAD", "AU": "AUD", "NZ": "NZD", "SG": "SGD", "HK": "HKD", "MX": "MXN"}
-
-
 def currency(text: Column, country: Column) -> Column:
     """An ISO code in the text, else a sign, of which the plain dollar is the country's own."""
-    code = F.nullif(F.regexp_extract(F.upper(text), rf"\b({'|'.join(CURRENCY_CODES)})\b", 1), F.lit(""))
-    sign = F.coalesce(*[F.when(text.contains(s), c) for s, c in CURRENCY_SIGNS])
-    own = F.coalesce(*[F.when(country == c, d) for c, d in DOLLARS.items()], F.lit("USD"))
+    code = F.nullif(F.regexp_extract(F.upper(text), rf"\b({'|'.join(fixed.CURRENCY_CODES)})\b", 1), F.lit(""))
+    sign = F.coalesce(*[F.when(text.contains(s), c) for s, c in fixed.CURRENCY_SIGNS])
+    own = F.coalesce(*[F.when(country == c, d) for c, d in fixed.DOLLARS.items()], F.lit("USD"))
     return F.coalesce(code, sign, F.when(text.contains("$"), own))
 
 

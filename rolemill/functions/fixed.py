@@ -1,29 +1,31 @@
 """Word lists, codes, limits and patterns that results depend on. Nothing here is computed."""
 
 # --- fixed values: rank of a source when several carry one posting; 1 wins ---
-SOURCE_RANK_1 = (
-    "adp amazon apple ashby avature bamboohr beisen beisen_legacy breezy bytedance cornerstone darwinbox dayforce google "
-    "greenhouse gupy herp hrmos icims jazzhr jobvite join_com keka lever meta moka oracle pageup paycom paylocity personio "
-    "phenom pinpoint recruitee recruiterbox rippling smartrecruiters softgarden successfactors taleo teamtailor tesla tiktok "
-    "uber ukg workable workday"
-).split()
-SOURCE_RANK_2 = "builtin getonbrd jobsch manfred programathor remoteok thehub wanted wellfound weworkremotely ycombinator".split()
-SOURCE_RANK_3 = "gem mercor welcometothejungle".split()
-SOURCE_RANK_4 = ["seek"]
-SOURCE_RANK_5 = ["eightfold"]
-SOURCE_RANK_6 = "arbetsformedlingen bundesagentur eures jobbankca usajobs".split()
+SOURCE_RANK = {
+    "adp": 1, "ashby": 1, "avature": 1, "bamboohr": 1, "beisen": 1, "beisen_legacy": 1, "breezy": 1, "cornerstone": 1,
+    "darwinbox": 1, "dayforce": 1, "greenhouse": 1, "gupy": 1, "herp": 1, "hrmos": 1, "icims": 1, "jazzhr": 1, "join_com": 1,
+    "jobvite": 1, "keka": 1, "lever": 1, "moka": 1, "oracle": 1, "pageup": 1, "paycom": 1, "paylocity": 1, "personio": 1,
+    "phenom": 1, "pinpoint": 1, "recruitee": 1, "recruiterbox": 1, "rippling": 1, "smartrecruiters": 1, "softgarden": 1,
+    "successfactors": 1, "taleo": 1, "teamtailor": 1, "ukg": 1, "workable": 1, "workday": 1,
+    "amazon": 1, "apple": 1, "bytedance": 1, "google": 1, "meta": 1, "tesla": 1, "tiktok": 1, "uber": 1,
+    "builtin": 2, "getonbrd": 2, "jobsch": 2, "manfred": 2, "programathor": 2, "remoteok": 2, "thehub": 2, "wanted": 2,
+    "wellfound": 2, "weworkremotely": 2, "ycombinator": 2,
+    "welcometothejungle": 3, "mercor": 3, "gem": 3,
+    "seek": 4,
+    "eightfold": 5,
+    "bundesagentur": 6, "arbetsformedlingen": 6, "eures": 6, "jobbankca": 6, "usajobs": 6,
+}
 UNLISTED_RANK = 2
 DIRECT_RANK = 1
 GATED_SOURCES = ["welcometothejungle"]
 
 # --- fixed values: employers that name no employer ---
 PLACEHOLDER_EMPLOYERS = [
-    "-", "--", ".", "...", "?", "anonym", "anonyme", "anonymous", "arbeitgeber", "company", "confidential", "confidentiel",
-    "confidentiality", "employer", "empresa", "entreprise", "konfidentiell", "n.a.", "n/a", "na", "no especificado",
-    "no se especifica", "non precise", "non précisé", "non renseigne", "non renseigné", "none", "not disclosed",
-    "not provided", "not specified", "null", "particulier", "privat", "private", "see description", "see job description",
-    "siehe beschreibung", "sin especificar", "undisclosed", "unknown", "unspecified", "ver descripcion", "ver descripción",
-    "vertraulich", "voir description",
+    "-", "--", ".", "...", "?", "n/a", "na", "n.a.", "none", "null", "not specified", "not disclosed", "not provided", "unspecified",
+    "unknown", "undisclosed", "confidential", "confidentiel", "konfidentiell", "vertraulich", "anonymous", "anonyme", "anonym",
+    "non renseigné", "non renseigne", "non précisé", "non precise", "no se especifica", "no especificado", "sin especificar",
+    "siehe beschreibung", "see description", "see job description", "voir description", "ver descripción", "ver descripcion",
+    "employer", "company", "empresa", "entreprise", "arbeitgeber", "private", "privat", "particulier",
 ]
 HOSTNAME = r"^(?:www\.)?[a-z0-9][a-z0-9-]*(?:\.[a-z0-9-]+)+$"
 
@@ -204,3 +206,21 @@ COMMON_WORDS = {
 # --- fixed values: industries of funds, and business codes of sponsors that employ nobody ---
 FUND_INDUSTRIES = ["Pooled Investment Fund", "Other Investment Fund", "Investing", "Commercial Banking"]
 NO_EMPLOYER_CODES = ["813930", "813940", "525100", "525110", "525120", "525190", "525900", "524290"]
+
+# --- fixed values: signs and codes of currencies, and the dollars of countries ---
+CURRENCY_CODES = [
+    "USD", "EUR", "GBP", "CAD", "AUD", "NZD", "CHF", "SEK", "NOK", "DKK", "PLN", "CZK", "HUF", "JPY", "CNY", "INR", "BRL", "MXN", "SGD",
+    "HKD", "ZAR",
+]
+CURRENCY_SIGNS = [
+    ("CA$", "CAD"), ("A$", "AUD"), ("NZ$", "NZD"), ("HK$", "HKD"), ("S$", "SGD"), ("R$", "BRL"), ("£", "GBP"), ("€", "EUR"), ("¥", "JPY"),
+    ("₹", "INR"), ("zł", "PLN"),
+]
+DOLLARS = {"CA": "CAD", "AU": "AUD", "NZ": "NZD", "SG": "SGD", "HK": "HKD", "MX": "MXN"}
+
+# --- fixed values: continents of the countries that country_of knows ---
+CONTINENTS = {
+    "Europe": ["DE", "FR", "BE", "AT", "NL", "IT", "ES", "PT", "PL", "CH", "LU", "DK", "SE", "NO", "FI", "IE", "CZ", "GB"],
+    "North America": ["US", "CA"],
+    "Asia": ["IN", "ID"],
+}

@@ -64,9 +64,5 @@ def reconciled_country(location: Column, stored: Column) -> Column:
     return F.when(have == "", derived).when(have.isin(list(_AMBIGUOUS)) & (derived != ""), derived).otherwise(have)
 
 
-# --- fixed values: continents of the countries that country_of knows ---
-CONTINENTS = {"Europe": "DE FR BE AT NL IT ES PT PL CH LU DK SE NO FI IE CZ GB".split(), "North America": ["US", "CA"], "Asia": ["IN", "ID"]}
-
-
 def continent_of(country: Column) -> Column:
-    return F.coalesce(*[F.when(country.isin(codes), name) for name, codes in CONTINENTS.items()])
+    return F.coalesce(*[F.when(country.isin(codes), name) for name, codes in fixed.CONTINENTS.items()])

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rolemill.functions.classify import CURRENCY_CODES, currency, pay_period
+from rolemill.functions import fixed
+from rolemill.functions.classify import currency, pay_period
 
 _SLUG = "([A-Za-z0-9_.-]+)"
 # --- fixed values: hosts of boards, with the tenant in the path or as the first label of the host ---
@@ -35,7 +36,7 @@ def board_of(url: Column) -> Column:
 
 
 _MONEY = r"(?:US|CA|A|NZ|HK|S|R)?[$£€¥]\s?(\d[\d,.]*)\s*([kK])?"
-_PAY = rf"(?is)(.{{0,80}}?)({_MONEY}\s*(?:-|–|—|to|and)\s*{_MONEY}(?:\s*(?-i:({'|'.join(CURRENCY_CODES)}))\b)?(.{{0,40}}))"
+_PAY = rf"(?is)(.{{0,80}}?)({_MONEY}\s*(?:-|–|—|to|and)\s*{_MONEY}(?:\s*(?-i:({'|'.join(fixed.CURRENCY_CODES)}))\b)?(.{{0,40}}))"
 _LABEL = r"(?i)(?:base (?:pay|salary)|salary|pay|compensation|hiring|annual|hourly) ?(?:range|scale|rate|salary|band)?"
 
 

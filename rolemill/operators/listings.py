@@ -46,9 +46,7 @@ def lookup(c: Column, table: dict[str, float | int | str], default=None) -> Colu
 
 
 def source_rank(ats_type="ats_type") -> Column:
-    tiers = [fixed.SOURCE_RANK_1, fixed.SOURCE_RANK_2, fixed.SOURCE_RANK_3, fixed.SOURCE_RANK_4, fixed.SOURCE_RANK_5, fixed.SOURCE_RANK_6]
-    found = [F.when(F.col(ats_type).isin(names), i + 1) for i, names in enumerate(tiers)]
-    return F.coalesce(*found, F.lit(fixed.UNLISTED_RANK))
+    return lookup(F.col(ats_type), fixed.SOURCE_RANK, fixed.UNLISTED_RANK)
 
 
 def union_relaxed(parts: list[DataFrame]) -> DataFrame:

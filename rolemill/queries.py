@@ -168,68 +168,7 @@ def quarantine_reasons(spark, sf):
     return rows.select("seq", quarantine.reason(rows, NOW).alias("reason"))
 
 
-_PLACES = [("Austin, TX", "US"), ("Toronto, ON, CA", "CA"), ("San Francisco, CA", "US"), ("DE (DE300)", "DE"), ("Wilmington, DE", "US"), ("Berlin, DE", "DE"), ("Lausanne", ""), ("Pune, IN", "IN"), ("Gary, IN", "US"), ("Bali, ID", "ID"), ("London, UK", "GB"), ("Remote - US", "US"), ("Boulder, Colorado", "US"), ("Tbilisi, Georgia", ""), ("Paris, France", "FR"), ("Wien, Österreich", "AT"), ("", ""), ("Anywhere", "")]
-
-
-@query("SELECT doc_id, place, CASE place " + " ".join(f"WHEN '{p}' THEN '{c}'" for p, c in _PLACES) + f" END AS country FROM (SELECT doc_id, [{_in(p for p, _ in _PLACES)}][(doc_id % {len(_PLACES)})::INT + 1] AS place FROM documents)")
-def countries(spark, sf):
-    rows = table(spark, sf, "documents").select("doc_id", F.element_at(F.array(*[F.lit(p) for p, _ in _PLACES]), (F.col("doc_id") % len(_PLACES)).cast("int") + 1).alias("place"))
-    return rows.withColumn("country", geo.country_of(F.col("place")))
-
-
-_TITLES = [("Senior Software Engineer", "SENIOR", None), ("Chief of Staff", None, None), ("Chief Technology Officer", "EXECUTIVE", None), ("Head of Data (Remote)", "DIRECTOR", "remote"), ("Art Director", None, None), ("Product Manager, hybrid", None, "hybrid"), ("Engineering Manager", "MANAGER", None), ("Staff Data Scientist - Remote", "STAFF", "remote"), ("Team Lead (on-site)", "LEAD", "onsite"), ("Lead Generation Expert", None, None), ("Werkstudent Backend", "INTERN", None), ("Junior Developer", "JUNIOR", None), ("Principal Architect", "PRINCIPAL", None), ("Hybrid Remote Analyst", None, "hybrid"), ("Software Engineer", None, None)]
-
-
-def _opt(x: str | None) -> str:
-    return "NULL" if x is None else f"'{x}'"
-
-
-@query("SELECT doc_id, t.title, t.seniority, t.placement, CASE WHEN contains(lower(t.title), 'remote') THEN true END AS remote FROM documents JOIN (VALUES " + ", ".join(f"({i}, '{t}', {_opt(s)}, {_opt(p)})" for i, (t, s, p) in enumerate(_TITLES)) + f") t(i, title, seniority, placement) ON doc_id % {len(_TITLES)} = t.i")
-def title_classes(spark, sf):
-    rows = table(spark, sf, "documents").select("doc_id", F.element_at(F.array(*[F.lit(t) for t, _, _ in _TITLES]), (F.col("doc_id") % len(_TITLES)).cast("int") + 1).alias("title"))
-    return rows.select("doc_id", "title", classify.seniority().alias("seniority"), classify.placement("title").alias("placement"), classify.is_remote().alias("remote"))
-
-
-_PAY = [("$257K - $335K", 257000.0, 335000.0), ("60,000 - 80,000", 60000.0, 80000.0), ("€80k–€120k", 80000.0, 120000.0), ("CA$400K – CA$500K", 400000.0, 500000.0), ("$1.5M", 1500000.0, 1500000.0), ("90000 to 70000", 70000.0, 90000.0), ("competitive", None, None), ("", None, None)]
-
-
-@query("SELECT doc_id, t.summary, t.lo AS low, t.hi AS high FROM documents JOIN (VALUES " + ", ".join(f"({i}, '{t}', {'NULL' if a is None else a}::DOUBLE, {'NULL' if b is None else b}::DOUBLE)" for i, (t, a, b) in enumerate(_PAY)) + f") t(i, summary, lo, hi) ON doc_id % {len(_PAY)} = t.i")
-def pay_ranges(spark, sf):
-    rows = table(spark, sf, "documents").select("doc_id", F.element_at(F.array(*[F.lit(t) for t, _, _ in _PAY]), (F.col("doc_id") % len(_PAY)).cast("int") + 1).alias("summary"))
-    return rows.withColumn("pay", classify.salary_range("summary")).select("doc_id", "summary", F.col("pay.min").alias("low"), F.col("pay.max").alias("high"))
-
-
-@query(f"{_L} SELECT seq, CASE commitment WHEN 'Full-time' THEN 'FULL_TIME' WHEN 'Teilzeit' THEN 'PART_TIME' WHEN 'Internship' THEN 'INTERN' WHEN 'CDD' THEN 'TEMPORARY' WHEN 'Contract' THEN 'CONTRACT' END AS kind FROM l")
-def employment_kinds(spark, sf):
-    return listings(spark, sf).select("seq", classify.employment_type("commitment").alias("kind"))
-
-
-_URLS = [("https://boards.greenhouse.io/Acme/jobs/1", "greenhouse", "acme"), ("https://jobs.lever.co/acme-co", "lever", "acme-co"), ("https://acme.recruitee.com/o/x", "recruitee", "acme"), ("https://acme.wd5.myworkdayjobs.com/Ext", "workday", "acme"), ("acme.jobs.personio.de", "personio", "acme"), ("https://join.com/companies/acme", "join_com", "acme"), ("https://example.com/careers", None, None)]
-
-
-@query("SELECT doc_id, t.ats, t.slug FROM documents JOIN (VALUES " + ", ".join(f"({i}, {_opt(a)}, {_opt(b)})" for i, (_, a, b) in enumerate(_URLS)) + f") t(i, ats, slug) ON doc_id % {len(_URLS)} = t.i")
-def careers_urls(spark, sf):
-    rows = table(spark, sf, "documents").select("doc_id", F.element_at(F.array(*[F.lit(u) for u, _, _ in _URLS]), (F.col("doc_id") % len(_URLS)).cast("int") + 1).alias("url"))
-    return rows.withColumn("b", po.board_of(F.col("url"))).select("doc_id", "b.ats", "b.slug")
-
-
-_PROSE = [("Annual Salary: $320,000 — $405,000 USD and stock", 320000.0, 405000.0, "USD", "YEAR"), ("Pay range €80k to €95k", 80000.0, 95000.0, "EUR", "YEAR"), ("We pay $25.50 - $31.00 per hour.", 25.5, 31.0, "USD", "HOUR"), ("Between $5 and $7 off", None, None, None, None), ("No figures here", None, None, None, None)]
-
-
-@query("SELECT doc_id, t.a AS low, t.b AS high, t.c AS currency, t.p AS period FROM documents JOIN (VALUES " + ", ".join(f"({i}, {'NULL' if a is None else a}::DOUBLE, {'NULL' if b is None else b}::DOUBLE, {_opt(c)}, {_opt(p)})" for i, (_, a, b, c, p) in enumerate(_PROSE)) + f") t(i, a, b, c, p) ON doc_id % {len(_PROSE)} = t.i")
-def disclosed_pay(spark, sf):
-    rows = table(spark, sf, "documents").select("doc_id", F.element_at(F.array(*[F.lit(x[0]) for x in _PROSE]), (F.col("doc_id") % len(_PROSE)).cast("int") + 1).alias("d"))
-    return rows.withColumn("p", po.disclosed_pay(F.col("d"), F.lit("US"))).select("doc_id", F.col("p.min").alias("low"), F.col("p.max").alias("high"), "p.currency", "p.period")
-
-
-@query("SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 12500 WHEN 1 THEN 900 WHEN 2 THEN NULL ELSE NULL END::BIGINT AS employees FROM documents")
-def headcounts(spark, sf):
-    said = F.array(F.lit("We had 12,500 employees and 300 associates."), F.lit("It has 900 full-time employees."), F.lit("We laid off 200 employees."), F.lit("no number"))
-    return table(spark, sf, "documents").select("doc_id", po.headcount(F.element_at(said, (F.col("doc_id") % 4).cast("int") + 1)).alias("employees"))
-
-
-# The six queries above hold the rules against sentences with known answers; those below run them over the tables' own columns, all rows of
-# them, which SQL can't express.
+# The rules over the tables' own columns, all rows of them, which SQL can't express; rule_queries.py holds them against SQL.
 
 def _postings(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     """Columns of the postings of all documents, those without a text as well."""
@@ -276,12 +215,6 @@ def common_openings(spark, sf):
     return po.common_openings(rows, ["user_id"], "text", 3, 1)
 
 
-@query("SELECT doc_id, CASE WHEN length(text) > length(left(text, 500)) THEN text ELSE left(text, 500) END AS description FROM documents")
-def description_cache(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("cached"), F.substring("text", 1, 500).alias("fresh"))
-    return docs.select("doc_id", state.longer_wins(F.col("cached"), F.col("fresh")).alias("description"))
-
-
 # ---- joins ----
 
 @query("SELECT c_custkey, count(o_orderkey) AS n FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_orderstatus = 'F' GROUP BY c_custkey")
@@ -398,7 +331,7 @@ def union_of_unlike(spark, sf):
 
 # ---- cross-source deduplication ----
 
-_RANKS = " ".join(f"WHEN ats_type IN ({_in(names)}) THEN {i}" for i, names in enumerate((fixed.SOURCE_RANK_1, fixed.SOURCE_RANK_2, fixed.SOURCE_RANK_3, fixed.SOURCE_RANK_4, fixed.SOURCE_RANK_5, fixed.SOURCE_RANK_6), 1))
+_RANKS = " ".join(f"WHEN ats_type = '{s}' THEN {rank}" for s, rank in fixed.SOURCE_RANK.items())
 _COUNTRY = "CASE WHEN country_iso <> '' AND country_iso <> 'DE' THEN country_iso WHEN location IN ('Austin, TX', 'Remote - US') THEN 'US' WHEN location = 'Paris, France' THEN 'FR' WHEN location = 'DE (DE300)' THEN 'DE' ELSE 'ES' END"
 _PASSES = rf"""{_L}, k AS (SELECT seq, ats_type, CASE {_RANKS} ELSE 2 END AS rank, url, lower(trim(title, E' \t\n\r\f\x0B')) AS title, lower(company) AS company, lower(location) AS location, {_COUNTRY} AS country, ats_id,
    regexp_replace(lower(company), '[^a-z0-9]', '', 'g') AS norm, trim(regexp_replace(lower(title), '[^a-z0-9]+', ' ', 'g')) AS slug,
@@ -474,14 +407,6 @@ def delta_classes(spark, sf):
 
 # ---- enrichment and companies ----
 
-@query(f"""{_L}, t AS (SELECT CASE WHEN country_iso <> '' THEN 'provider' ELSE 'rules' END AS country_iso_source,
- CASE WHEN commitment IS NOT NULL THEN 'rules' ELSE 'none' END AS employment_type_source FROM l)
- SELECT 'country_iso' AS field, country_iso_source AS source, count(*) AS rows FROM t GROUP BY 2 UNION ALL SELECT 'employment_type', employment_type_source, count(*) FROM t GROUP BY 2""")
-def enrichment_coverage(spark, sf):
-    rows = listings(spark, sf).withColumn("title", F.lit("Engineer"))
-    return enrich.coverage(enrich.tier0(rows, ["country_iso"]), ["country_iso", "employment_type"])
-
-
 @query("""WITH p AS (SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN 'xx' ELSE lang END AS got, CASE WHEN doc_id % 6 = 0 THEN NULL ELSE lang END AS want FROM documents),
  s AS (SELECT count(*) FILTER (WHERE want = got) AS hit, count(*) FILTER (WHERE want <> got) AS wrong, count(*) FILTER (WHERE want IS NOT NULL AND got IS NULL) AS missed, count(*) FILTER (WHERE want IS NULL AND got IS NOT NULL) AS over_claimed, count(*) FILTER (WHERE want IS NULL AND got IS NULL) AS correct_abstain FROM p)
  SELECT 'lang' AS field, *, hit / (hit + wrong + missed) AS recall, hit / (hit + wrong + over_claimed) AS precision, over_claimed / (over_claimed + correct_abstain) AS over_claim FROM s""")
@@ -500,14 +425,6 @@ def company_checks(spark, sf):
     return co.withheld(out, ["shown"], F.col("s_nationkey") == 3).drop("s_nationkey")
 
 
-@query("SELECT s_suppkey, s_suppkey AS ref, 100.0::DOUBLE AS score, 'high' AS confidence FROM supplier")
-def company_matching(spark, sf):
-    s = table(spark, sf, "supplier").select("s_suppkey", F.concat(F.regexp_replace("s_name", "#", " "), F.lit(" Inc.")).alias("name"))
-    ref = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("ref"), F.concat(F.regexp_replace("s_name", "#", " "), F.lit(", Inc")).alias("ref_label"), F.col("s_acctbal").alias("employees"))
-    s, ref = s.withColumn("k", tx.name_key("name")), ref.withColumn("rk", tx.name_key("ref_label"))
-    return co.matched(s, ref, [("k", "rk")], "s_suppkey", "ref", "name", "ref_label", "employees").select("s_suppkey", "ref", "score", "confidence")
-
-
 # ---- streams ----
 
 @query("SELECT user_id, event_type, count(*) AS rows FROM (SELECT DISTINCT user_id, event_type FROM events) GROUP BY user_id, event_type")
