@@ -5,12 +5,15 @@ can't take is reshared among the others by weight. Whole epochs of a source come
 weighted sample without replacement: each document draws an exponential key divided by its quality weight, documents
 are sorted by key within their source, and sizes are summed up to the remaining budget.
 
-No source is sorted in one task. Keys are dealt to bands of equal probability, band totals give the band in which a
-source's budget runs out, and only the rows of that band are put in order.
+No source is sorted in one task. Keys are dealt to bands between quantiles of all keys, so that a band holds about one row
+of BANDS whatever the weights are; band totals give the band in which a source's budget runs out, and only the rows of
+that band are put in order. The quantiles come from sketches of fixed size, and only decide how the work is dealt.
 
 Sizes are words. Null texts have none. A null source is a source of its own, the last one. Draws depend on doc_id alone,
-so reruns agree; ties in the key go by doc_id, and repeated rows are documents of their own, told apart by nothing, so
-that rows with equal doc_id enter or stay out in an order fixed by their size. An empty table gives an empty table.
+so reruns agree; ties in the key go by doc_id, then by a digest of the row, then by the place of reading. Repeated rows are
+documents of their own: as many of them enter as the budget has room for, and rows that differ in nothing can stand in for
+each other. Very long texts are counted whole. Extra columns are carried by mixed(), also those named as its own are, and
+not read otherwise. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -61,32 +64,47 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     return rows.select("source", "source_size", target.alias("target"))
 
 
-def keyed(docs: DataFrame, bands: int = BANDS) -> DataFrame:
-    """docs with size, key and band."""
+def keyed(docs: DataFrame, *carried: str) -> DataFrame:
+    """doc_id, source, size, key and what tells rows apart, stored, for each row of docs; and the columns carried."""
     weight = quality_weight(text_of())
-    rows = docs.withColumns({"size": word_count(text_of()), "key": -F.log(uniform(F.col("doc_id"))) / weight})
-    return rows.withColumn("band", F.least(F.lit(bands - 1), F.floor((1 - F.exp(-F.col("key"))) * bands)).cast("int"))
+    every = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select("doc_id", "source", word_count(text_of()).alias("size"), (-F.log(uniform(F.col("doc_id"))) / weight).alias("key"), every.alias("digest"), F.monotonically_increasing_id().alias("at"), *carried)
+    return stored(rows, "mix-rows")
+
+
+def banded(rows: DataFrame, bands: int = BANDS) -> DataFrame:
+    """rows with band: how many of the quantiles of all keys are not above a row's key. bands: a power of two."""
+    found = rows.agg(F.percentile_approx("key", [k / bands for k in range(1, bands)], 4 * bands).alias("q")).head()["q"]
+    if not found:
+        return rows.withColumn("band", F.lit(0))
+    edges, steps = F.array(*[F.lit(float(x)) for x in found]), F.array(*[F.lit(1 << k) for k in reversed(range(bands.bit_length() - 1))])
+    band = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.element_at(edges, at + step) <= F.col("key"), at + step).otherwise(at))
+    return rows.withColumn("band", band)
+
+
+def _order() -> list[Column]:
+    return [F.col(c) for c in ("key", "doc_id", "digest", "at")]
 
 
 def plan(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, epochs: int = EPOCHS) -> DataFrame:
-    """One row a source: mix_source, source_size, target, whole epochs, and the band and last key that the rest reaches.
+    """One row a source: mix_source, source_size, target, whole epochs, and the band and last row that the rest reaches.
 
-    rows: doc_id, source, size, key and band of every document.
+    rows: what keyed() gives of every document, with band.
     """
-    banded = stored(rows.groupBy("source", "band").agg(F.sum("size").alias("band_size")), "mix-bands")
-    goals = targets(banded.groupBy("source").agg(F.sum("band_size").alias("source_size")), weights, share, epochs)
+    totals = stored(rows.groupBy("source", "band").agg(F.sum("size").alias("band_size")), "mix-bands")
+    goals = targets(totals.groupBy("source").agg(F.sum("band_size").alias("source_size")), weights, share, epochs)
     goals = goals.withColumn("epochs", F.when(F.col("source_size") > 0, F.least(F.lit(epochs), F.floor(F.col("target") / F.col("source_size")))).otherwise(0).cast("long"))
     goals = goals.withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size")).withColumnRenamed("source", "mix_source")
     before = F.sum("band_size").over(Window.partitionBy("source").orderBy("band").rowsBetween(Window.unboundedPreceding, -1))
-    at = banded.withColumn("before", F.coalesce(before, F.lit(0)))
+    at = totals.withColumn("before", F.coalesce(before, F.lit(0)))
     full = at.join(goals, F.col("source").eqNullSafe(F.col("mix_source"))).where(F.col("before") + F.col("band_size") > F.col("budget"))
     cut = full.groupBy("mix_source", "source_size", "target", "epochs", "budget").agg(F.min(F.struct(F.col("band").alias("cut_band"), "before")).alias("cut"))
     cut = stored(cut.select("mix_source", "source_size", "target", "epochs", "budget", "cut.cut_band", "cut.before"), "mix-cuts")
     edge = rows.join(cut, F.col("source").eqNullSafe(F.col("mix_source")) & (F.col("band") == F.col("cut_band")))
-    up_to = Window.partitionBy("mix_source").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    up_to = Window.partitionBy("mix_source").orderBy(*_order()).rowsBetween(Window.unboundedPreceding, -1)
     edge = edge.withColumn("start", F.col("before") + F.coalesce(F.sum("size").over(up_to), F.lit(0)))
     enters = (F.col("start") < F.col("budget")) & (F.col("start") + F.col("size") / 2 <= F.col("budget"))  # the last one if that comes nearer
-    last = edge.where(enters).groupBy("mix_source").agg(F.max(F.struct("key", "doc_id")).alias("last")).withColumnRenamed("mix_source", "s")
+    last = edge.where(enters).groupBy("mix_source").agg(F.max(F.struct(*_order())).alias("last")).withColumnRenamed("mix_source", "s")
     rest = goals.join(cut.select(F.col("mix_source").alias("c"), "cut_band"), F.col("mix_source").eqNullSafe(F.col("c")), "left")
     out = rest.join(last, F.col("mix_source").eqNullSafe(F.col("s")), "left")
     return stored(out.select("mix_source", "source_size", "target", "epochs", "cut_band", "last"), "mix-plan")
@@ -95,21 +113,20 @@ def plan(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHA
 def decided(rows: DataFrame, plan: DataFrame, epochs: int = EPOCHS) -> DataFrame:
     """rows with copies, the number of times each is taken."""
     rows = rows.join(plan, F.col("source").eqNullSafe(F.col("mix_source")))
-    inside = F.coalesce(F.struct("key", "doc_id") <= F.col("last"), F.lit(False))
+    inside = F.coalesce(F.struct(*_order()) <= F.col("last"), F.lit(False))
     chosen = F.when(F.col("cut_band").isNull(), 0).when(F.col("band") < F.col("cut_band"), 1).when((F.col("band") == F.col("cut_band")) & inside, 1).otherwise(0)
     return rows.withColumn("copies", F.least(F.col("epochs") + chosen, F.lit(epochs)).cast("long"))
 
 
 def drawn(docs: DataFrame) -> DataFrame:
     """doc_id, source, size, source_size, target, copies and taken of each row."""
-    rows = stored(keyed(docs.select("doc_id", "source", "text")).drop("text"), "mix-rows")
+    rows = banded(keyed(docs.select("doc_id", "source", "text")))
     return decided(rows, plan(rows)).select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mixed(docs: DataFrame) -> DataFrame:
     """The mix itself: each document with its own columns, as many times as it is taken."""
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own")
-    rows = keyed(docs.select("doc_id", "source", "text", own))
-    goals = plan(stored(rows.select("doc_id", "source", "size", "key", "band"), "mix-rows"))
-    out = decided(rows, goals).where("copies > 0")
+    rows = banded(keyed(docs.select("doc_id", "source", "text", own), "own"))
+    out = decided(rows, plan(rows)).where("copies > 0")
     return out.select("own", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("own.*")
