@@ -1,14 +1,15 @@
 """Best-fit packing into sequences of several permitted lengths.
 
 Documents are cut into pieces of at most the largest permitted length, nothing is lost. Pieces are dealt to shards of a
-bounded number of tokens by a hash of document and piece, and each shard is packed by itself, longest piece first. A
+bounded number of tokens by a hash of document, place of reading and piece, so that rows with one doc_id spread as others
+do, and each shard is packed by itself, longest piece first. A
 piece goes to the open bin that it fills best. If none has room, a new bin opens, of the permitted length with the least
 expected cost for a token: its cost over what it will hold, given the piece and the tokens still to come. That is done once
 for each set of lengths that may be opened, and the plan with the least total cost stays, after every bin has been cut down to
 the smallest permitted length that holds its contents.
 
-Texts without words and null texts have no pieces and appear in no bin. Repeated rows are packed each. Ties go by doc_id and
-piece. Very long texts become many pieces of the largest length. Null doc_ids are packed as any other. Extra columns of
+Texts without words and null texts have no pieces and appear in no bin. Repeated rows are packed each. Ties go by doc_id,
+piece and place of reading; reruns over the same files agree. Very long texts become many pieces of the largest length. Null doc_ids are packed as any other. Extra columns of
 the input are not read; an empty table gives an empty table.
 """
 
@@ -18,7 +19,7 @@ from bisect import bisect_left
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -92,17 +93,20 @@ def packed(sizes: np.ndarray, lengths: tuple[int, ...] = LENGTHS) -> Plan:
 
 
 def pieces(docs: DataFrame, largest: int, size=None) -> DataFrame:
-    """doc_id, piece and n_tokens: each document cut into pieces of at most the largest length."""
-    rows = docs.select("doc_id", (word_count(text_of()) if size is None else size).alias("size")).where("size > 0")
+    """doc_id, at, piece and n_tokens: each document cut into pieces of at most the largest length; at: its place of reading."""
+    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("at"), (word_count(text_of()) if size is None else size).alias("size")).where("size > 0")
     cut = F.explode(F.sequence(F.lit(0), F.ceil(F.col("size") / largest).cast("int") - 1)).alias("piece")
-    return rows.select("doc_id", "size", cut).select("doc_id", "piece", F.least(F.lit(largest), F.col("size") - F.col("piece") * largest).cast("int").alias("n_tokens"))
+    return rows.select("doc_id", "at", "size", cut).select("doc_id", "at", "piece", F.least(F.lit(largest), F.col("size") - F.col("piece") * largest).cast("int").alias("n_tokens"))
 
 
 def _shard(lengths: tuple[int, ...]):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["n_tokens", "doc_id", "piece"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
-        plan = packed(rows["n_tokens"].to_numpy(np.int64), lengths)
-        return rows.assign(bin=plan.bins, offset=plan.offsets, capacity=plan.capacities[plan.bins], bin_tokens=plan.held[plan.bins])[[c.split()[0] for c in SCHEMA.split(", ")]]
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("n_tokens", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("at", "ascending")])
+        plan = packed(rows.column("n_tokens").to_numpy().astype(np.int64), lengths)
+        columns = {"bin": plan.bins, "offset": plan.offsets, "capacity": plan.capacities[plan.bins], "bin_tokens": plan.held[plan.bins]}
+        for name, values in columns.items():
+            rows = rows.append_column(name, pa.array(values, pa.int32()))
+        return rows.select([c.split()[0] for c in SCHEMA.split(", ")])
 
     return run
 
@@ -113,6 +117,6 @@ def packed_documents(docs: DataFrame, lengths: tuple[int, ...] = LENGTHS, shard_
     rows = stored(pieces(docs, lengths[-1]), "pack-pieces")
     total = rows.agg(F.sum("n_tokens").alias("n")).head()["n"] or 0
     shards = max(1, -(-total // shard_tokens))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)).cast("int"))
-    return rows.groupBy("shard").applyInPandas(_shard(lengths), SCHEMA)
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "at", "piece"), F.lit(shards)).cast("int"))
+    return rows.groupBy("shard").applyInArrow(_shard(lengths), SCHEMA)
 
