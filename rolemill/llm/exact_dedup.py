@@ -11,8 +11,10 @@ fixed size over the digests with hits, and the distinct texts of each digest are
 Should two different texts share a digest, their rows are told apart by the text itself.
 
 Texts are equal when they agree after each run of blanks, tabs and line ends becomes one blank. Nulls count as empty, so a
-null and an empty text are copies. Of repeated rows with one doc_id, the first by locator stays. Null doc_ids sort last.
-An empty table gives an empty table; extra columns of the input are not read.
+null and an empty text are copies. Of repeated rows with one doc_id, the first by locator stays; kept_documents() reads the
+rows anew and keeps, of rows with one doc_id and one text, the one whose columns have the smallest digest. Null doc_ids sort
+last. Very long texts are taken whole. An empty table gives an empty table; extra columns are carried by kept_documents(),
+whatever they are called, and not read otherwise.
 """
 
 from __future__ import annotations
@@ -136,10 +138,15 @@ def _told_apart(docs: DataFrame, clashes: DataFrame, digest) -> DataFrame:
 
 def kept_documents(docs: DataFrame, digest=sha256) -> DataFrame:
     """One document of each group of equal texts, with all its columns."""
-    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"), "doc_id", digest(normalised(text_of())).alias("digest"))
+    every = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"), every.alias("every"), "doc_id", normalised(text_of()).alias("norm"))
+    own = own.select("own", "every", "doc_id", digest(F.col("norm")).alias("digest"))
     decided = stored(deduplicated(docs, digest), "dedup-decided")
     kept = decided.where("kept").select(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest"))
     held = own.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("digest") == F.col("kept_digest")), "left_semi")
-    if not decided.groupBy("doc_id", "digest").agg(F.count("*").alias("n"), F.max("kept").alias("kept")).where("n > 1 AND kept").isEmpty():
-        held = held.dropDuplicates(["doc_id", "digest"])  # rows that are repeated as a whole
-    return held.select("own.*")
+    again = stored(decided.groupBy("doc_id", "digest").agg(F.count("*").alias("n"), F.max("kept").alias("k")).where("n > 1 AND k").select(F.col("doc_id").alias("again_id"), F.col("digest").alias("again_digest")), "dedup-again")
+    if again.isEmpty():
+        return held.select("own.*")
+    same = F.col("doc_id").eqNullSafe(F.col("again_id")) & (F.col("digest") == F.col("again_digest"))
+    first = held.join(again, same, "left_semi").groupBy("doc_id", "digest").agg(F.min_by("own", "every").alias("own"))
+    return held.join(again, same, "left_anti").select("own.*").unionByName(first.select("own.*"))

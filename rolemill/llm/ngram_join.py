@@ -20,8 +20,10 @@ The shuffle of emitted members holds two numbers a row; points are sent only for
 sets of a block. A member that a third of all sets has is linked in a stream, without gathering the sets.
 
 Null texts, empty ones and ones without words have an empty set, which is linked with nothing. Very long texts are taken
-whole. Rows that repeat a doc_id count as one document where links are concerned. Null doc_ids are returned, with the
-smallest doc_id they are linked with, if any. Extra columns are not read.
+whole. Rows that repeat a doc_id count as one document where links are concerned. Rows with a null doc_id are returned, and
+are linked with rows whose sets are equal to theirs only; their component_id is the smallest doc_id among those and what
+those are linked with, or null. Extra columns are carried by representatives(), whatever they are called, and
+not read otherwise. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rolemill.llm.common import likely_in, stored
+from rolemill.llm.common import likely_in, stored, text_of
 from rolemill.llm.components import components
 from rolemill.llm.rtree import fine_groups, point, reachable_links, spanning_links
 from rolemill.llm.textarrays import as_bytes, lowered, mixed, windows, word_hashes
@@ -338,7 +340,17 @@ def _unsettled(members: DataFrame, links: DataFrame) -> DataFrame | None:
 
 
 def representatives(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
-    """One document of each component, the one with the smallest doc_id, with all its columns; documents without words stay."""
-    own = docs.select("doc_id", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"))
+    """One document of each component, the one with the smallest doc_id, with all its columns; documents without words stay.
+
+    Of rows that agree in doc_id and text one stays, that whose columns have the smallest digest; rows with one doc_id and
+    different texts count as one document, and all stay or go.
+    """
+    every = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    own = docs.select("doc_id", F.sha2(text_of(), 256).alias("digest"), every.alias("every"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"))
     gone = joined(docs, width, percent).where("doc_id <> component_id").select("doc_id").distinct()
-    return own.join(gone, "doc_id", "left_anti").select("own.*")
+    left = own.join(gone, "doc_id", "left_anti")
+    again = stored(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 AND doc_id IS NOT NULL").select("doc_id"), "ngram-again")
+    if again.isEmpty():
+        return left.select("own.*")
+    first = left.join(again, "doc_id", "left_semi").groupBy("doc_id", "digest").agg(F.min_by("own", "every").alias("own"))
+    return left.join(again, "doc_id", "left_anti").select("own.*").unionByName(first.select("own.*"))
