@@ -224,3 +224,28 @@ CONTINENTS = {
     "North America": ["US", "CA"],
     "Asia": ["IN", "ID"],
 }
+
+# --- fixed values: locations that are no place; marks of legal text and of copy about a vacancy; kinds of organisations ---
+PLACELESS = [
+    "remote", "remote work", "fully remote", "100% remote", "work from home", "wfh", "anywhere", "anywhere in the world", "worldwide",
+    "global", "globally", "international", "multiple locations", "various locations", "various", "flexible", "n/a", "na", "none", "tbd",
+    "unspecified", "home office", "telearbeit", "teletrabajo", "télétravail", "remoto", "en remoto",
+]
+LEGALESE = (
+    r"(?i)\b(?:equal\s+(?:opportunity|employment)\s+(?:employer|opportunity)|without\s+regard\s+to\s+race|regardless\s+of\s+race,"
+    r"|protected\s+veterans?\s+status|reasonable\s+accommodations?\b|applicants?\s+(?:will|shall)\s+receive\s+consideration"
+    r"|drug[\s-]free\s+workplace|e-verify|itar\b|export\s+(?:control|administration)\s+regulations"
+    r"|u\.?s\.?\s+government\s+export\s+regulations|lawful\s+permanent\s+resident|recruit(?:ing|ment)\s+fraud"
+    r"|background\s+(?:check|screening)\s+(?:is|will|may)|not\s+intended\s+to\s+be\s+all[\s-]inclusive"
+    r"|pursuant\s+to\s+(?:the\s+)?(?:fair\s+chance|san\s+francisco|los\s+angeles)|\beeo\b|\bada\b\s+(?:compliance|accommodation)"
+    r"|criminal\s+histor(?:y|ies)|401\s?\(?k\)?\s+(?:retirement|plan|match)|paid\s+time\s+off,|dental,?\s+vision)"
+)
+ROLE_OPENER = (
+    r"(?i)^\s*(?:about\s+(?:the|this)\s+(?:role|position|job|opportunity|team)"
+    r"|(?:the|this)\s+(?:role|position|job|opportunity|posting|listing)\s+(?:is|are|was|will|would|requires?|involves?|reports?|offers?"
+    r"|has|have|may|can|entails?|includes?|focuses|sits|exists|of)\b|position\s+(?:summary|overview|title)"
+    r"|job\s+(?:summary|description|title|type)|responsibilities\b|what\s+you(?:'|’)?ll\s+(?:do|be)"
+    r"|we\s+are\s+(?:seeking|hiring|looking\s+for)\b|(?:compensation|salary|pay(?:\s+rate)?|hourly\s+rate|base\s+pay)\s*[:\-–]"
+    r"|are\s+you\b|do\s+you\b)"
+)
+ORGANISATION_KINDS = ["organization", "corporation", "localbusiness", "ngo", "educationalorganization", "governmentorganization", "medicalorganization"]

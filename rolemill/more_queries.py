@@ -7,9 +7,9 @@ import zipfile
 
 from pyspark.sql import functions as F
 
-from rolemill.functions import fixed, keys, names
+from rolemill.functions import fixed, keys, names, prose
 from rolemill.functions import text as tx
-from rolemill.operators import filings, lifecycle, sinks
+from rolemill.operators import filings, gazetteer, lifecycle, sinks
 from rolemill.plans.adapted import LISTINGS_SQL, listings, table
 from rolemill.queries import query
 from rolemill.shared import shared_path
@@ -328,3 +328,27 @@ def stacked_once(spark, sf):
 def sums_by_name_key(spark, sf):
     rows = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     return rows.groupBy(tx.name_key("n_name").alias("name_key")).agg(F.sum("c_acctbal").alias("total"))
+
+
+# ---- places and pages ----
+
+@query("""WITH n AS (SELECT lower(n_name) AS name, 'R' || n_regionkey AS country, n_nationkey * 1.5 AS lat, n_nationkey * 2.5 AS lon, n_nationkey * 10 AS population FROM nation), r AS (SELECT lower(r_name) AS name, 'R' || r_regionkey AS country FROM region),
+ c AS (SELECT c_custkey, lower(a.n_name) AS town, CASE c_custkey % 4 WHEN 1 THEN 'R' || a.n_regionkey WHEN 2 THEN 'R' || (c_custkey % 5) WHEN 3 THEN 'R' || (c_custkey % 5) END AS said, c_custkey % 4 AS kind FROM customer JOIN nation a ON c_nationkey = a.n_nationkey),
+ seat AS (SELECT country, arg_max(lat, population) AS lat, arg_max(lon, population) AS lon FROM n GROUP BY country)
+ SELECT c_custkey, coalesce(said, n.country) AS country, CASE WHEN kind < 3 AND (said IS NULL OR said = n.country) THEN n.lat ELSE seat.lat END AS lat, CASE WHEN kind < 3 AND (said IS NULL OR said = n.country) THEN 'city' ELSE 'country' END AS precision
+ FROM c JOIN n ON n.name = c.town JOIN seat ON seat.country = coalesce(said, n.country)""")
+def places_resolved(spark, sf):
+    """Towns with no country, the right one, any one, and countries alone."""
+    nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
+    cities = nation.selectExpr("lower(n_name) AS name", "concat('R', n_regionkey) AS country", "n_nationkey * 1.5D AS lat", "n_nationkey * 2.5D AS lon", "n_nationkey * 10 AS population")
+    countries = region.selectExpr("lower(r_name) AS token", "concat('R', r_regionkey) AS country")
+    own = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).selectExpr("n_nationkey", "n_name", "r_name AS own")
+    rows = table(spark, sf, "customer").join(own, F.col("c_nationkey") == F.col("n_nationkey")).join(region.selectExpr("r_regionkey AS k", "r_name AS other"), F.col("c_custkey") % 5 == F.col("k"))
+    place = F.when(F.col("c_custkey") % 4 == 0, F.col("n_name")).when(F.col("c_custkey") % 4 == 1, F.concat_ws(", ", "n_name", "own")).when(F.col("c_custkey") % 4 == 2, F.concat_ws(" / ", "n_name", "other")).otherwise(F.col("other"))
+    return gazetteer.resolved(rows.select("c_custkey", place.alias("place")), "place", countries, cities).select("c_custkey", "country", "lat", "precision")
+
+
+@query()
+def page_descriptions(spark, sf):
+    """What each page says of itself, over whole pages; tests hold it against pages of all kinds."""
+    return table(spark, sf, "pages").select("page_id", "url", prose.page_description(F.col("html")).alias("description"))
