@@ -32,8 +32,20 @@ def processed(text: str) -> str:
     return re.sub(r"[\W_]", " ", text).lower().strip()
 
 
+def in_order(text: str) -> str:
+    """The words of a text, sorted: what token_sort_ratio() compares."""
+    return " ".join(sorted(processed(text).split()))
+
+
 def token_sort_ratio(a: str, b: str) -> float:
-    return ratio(*(" ".join(sorted(processed(x).split())) for x in (a, b)))
+    return ratio(in_order(a), in_order(b))
+
+
+def alike(a: str, b: str, bar: float) -> bool:
+    """Whether two texts of in_order() have a ratio of bar or more; lengths that are too far apart settle it."""
+    if a == b:
+        return True
+    return 200.0 * min(len(a), len(b)) >= bar * (len(a) + len(b)) and ratio(a, b) >= bar
 
 
 def token_set_ratio(a: str, b: str) -> float:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from rolemill.functions import fixed
 from rolemill.functions.places import reconciled_country
-from rolemill.functions.similarity import token_sort_ratio
+from rolemill.functions.similarity import alike, in_order
 from rolemill.functions.text import company_norm, title_core, title_slug, trimmed
 from rolemill.operators.groups import first_of, with_group
 from rolemill.operators.listings import col_or, source_rank
@@ -88,12 +88,20 @@ def _blocks(rows: DataFrame, limit: int, several_sources: bool) -> DataFrame:
     return held.where(F.col("__n") <= limit).drop("__n")
 
 
+def too_large(rows: DataFrame, limit: int = BLOCK_LIMIT) -> DataFrame:
+    """norm, part and rows of the blocks that the passes over similar titles leave alone because they are above the limit."""
+    rows = rows.where(F.col("norm") != "")
+    whole = with_group(rows, ["norm"], __n=F.count("*"), __a=F.min("ats_type"), __z=F.max("ats_type")).where(F.col("__n") > limit).where("__a <> __z")
+    return whole.groupBy("norm", F.col("country").alias("part")).agg(F.count("*").alias("rows")).where(F.col("rows") > limit)
+
+
 def _greedy(bar: float):
     def run(block: pd.DataFrame) -> pd.DataFrame:
         kept, gone = [], []
         for seq, ats, title, country in block.sort_values(["rank", "seq"])[["seq", "ats_type", "title", "country"]].itertuples(index=False):
-            same = any(a != ats and (c == country or not c or not country) and token_sort_ratio(t, title) >= bar for t, a, c in kept)
-            gone.append(seq) if same else kept.append((title, ats, country))
+            words = in_order(title)
+            same = any(a != ats and (c == country or not c or not country) and alike(t, words, bar) for t, a, c in kept)
+            gone.append(seq) if same else kept.append((words, ats, country))
         return pd.DataFrame({"seq": pd.Series(gone, dtype="int64")})
 
     return run
@@ -114,13 +122,13 @@ def gated_pairs(rows: DataFrame) -> DataFrame:
 
 def _nearest(block: pd.DataFrame) -> pd.DataFrame:
     block = block.sort_values(["rank", "seq"])
-    own = block[block["rank"] == fixed.DIRECT_RANK]
+    own = [(seq, in_order(slug)) for seq, slug in block[block["rank"] == fixed.DIRECT_RANK][["seq", "slug"]].itertuples(index=False)]
     pairs = []
     for seq, slug in block[block["ats_type"].isin(fixed.GATED_SOURCES)][["seq", "slug"]].itertuples(index=False):
-        for anchor, other in own[["seq", "slug"]].itertuples(index=False):
-            if token_sort_ratio(slug, other) >= GATED_BAR:
-                pairs.append((seq, anchor))
-                break
+        words = in_order(slug)
+        found = next((anchor for anchor, other in own if alike(words, other, GATED_BAR)), None)
+        if found is not None:
+            pairs.append((seq, found))
     return pd.DataFrame(pairs, columns=["donor", "anchor"]).astype("int64")
 
 

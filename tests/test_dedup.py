@@ -43,6 +43,13 @@ def test_similar_titles(spark):
     assert kept(spark, a, {"ats_type": "eures", "title": "Senior Frontend Designer Growth"}) == [0, 1]
 
 
+def test_blocks_above_the_limit_are_told(spark):
+    many = [{"ats_type": ("lever", "eures")[i % 2], "title": f"Role {chr(65 + i)}", "location": ("Paris, France", "Berlin, Germany")[i > 3]} for i in range(6)]
+    found = dedup.keys(rows(spark, *many, {"company": "Other"}))
+    assert [tuple(r) for r in dedup.too_large(found, 3).collect()] == [("acme", "FR", 4)]
+    assert dedup.too_large(found, 4).count() == 0 and dedup.by_similar_title(found, 3).count() >= 5
+
+
 def test_gated_row_gives_its_pay(spark):
     gated = {"ats_type": "welcometothejungle", "title": "Manager (Sales)", "salary_min": 1.0, "salary_max": 2.0, "salary_currency": "EUR", "location": "Paris, France"}
     all_rows = rows(spark, gated, {"ats_type": "greenhouse", "title": "Manager, Sales", "location": "Lyon, France"})
