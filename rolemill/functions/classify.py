@@ -92,3 +92,22 @@ def experience_years(text: Column) -> Column:
     cut = F.substring(text, 1, 8000)
     years = F.coalesce(F.nullif(F.regexp_extract(cut, near, 1), F.lit("")), F.nullif(F.regexp_extract(cut, near, 2), F.lit(""))).try_cast("int")
     return F.when(years <= 50, years)
+
+
+#: A passage that is worth a look for pay: an amount of money, or a word for pay beside a number.
+PAY_HINT = r"(?i)[$£€¥]\s?\d|\b(?:salary|pay|compensation|wage)\b[^.]{0,60}\d"
+
+
+def hinted(needs: Column, description="description") -> Column:
+    """The description where pay is needed and the text hints at some, else null: dear rules then look at few rows."""
+    text = F.col(description) if isinstance(description, str) else description
+    return F.when(needs & text.rlike(PAY_HINT), text)
+
+
+def offline_answer(title="title", description="description", least: int = 120) -> Column:
+    """What keywords tell, in the shape of a model's answer: a stand-in where no model can be asked."""
+    whole = F.concat_ws(" ", title, description)
+    return F.struct(
+        (F.length(F.coalesce(F.col(description), F.lit(""))) < least).alias("insufficient_text"), seniority(title).alias("seniority"), employment_type(title, description).alias("employment_type"),
+        placement(title, description).alias("placement"), experience_years(F.col(description)).alias("experience"), F.length(whole).alias("characters"),
+    )

@@ -7,9 +7,9 @@ import zipfile
 
 from pyspark.sql import functions as F
 
-from rolemill.functions import fixed, keys, names, prose
+from rolemill.functions import classify, fixed, keys, names, prose
 from rolemill.functions import text as tx
-from rolemill.operators import filings, gazetteer, lifecycle, sinks
+from rolemill.operators import filings, gazetteer, groups, lifecycle, profile, sinks, state
 from rolemill.plans.adapted import LISTINGS_SQL, listings, table
 from rolemill.queries import query
 from rolemill.shared import shared_path
@@ -352,3 +352,48 @@ def places_resolved(spark, sf):
 def page_descriptions(spark, sf):
     """What each page says of itself, over whole pages; tests hold it against pages of all kinds."""
     return table(spark, sf, "pages").select("page_id", "url", prose.page_description(F.col("html")).alias("description"))
+
+
+# ---- joins, caches, scores ----
+
+@query("SELECT l_orderkey, l_linenumber, o_custkey, o_orderstatus FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey AND o_orderkey % 3 > 0")
+def checked_join(spark, sf):
+    orders = table(spark, sf, "orders").where("o_orderkey % 3 > 0").selectExpr("o_orderkey AS l_orderkey", "o_custkey", "o_orderstatus")
+    return groups.joined_once(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"), orders, ["l_orderkey"])
+
+
+@query("""WITH t AS (SELECT * FROM documents WHERE length(text) BETWEEN 400 AND 20000)
+ SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM t) WHERE rn <= 6""")
+def tenant_samples(spark, sf):
+    return groups.samples(table(spark, sf, "documents").select("source", "doc_id", "text"), ["source"], "text", "doc_id").select("source", "doc_id")
+
+
+@query("""WITH c AS (SELECT 'a' || doc_id AS key, 'first' || doc_id AS v FROM documents WHERE doc_id % 4 = 0 UNION ALL SELECT 'u' || doc_id, 'second' || doc_id FROM documents WHERE doc_id % 3 = 0)
+ SELECT d.doc_id, coalesce(a.v, u.v) AS description FROM documents d LEFT JOIN c a ON d.doc_id % 5 > 0 AND a.key = 'a' || d.doc_id LEFT JOIN c u ON u.key = 'u' || d.doc_id""")
+def cached_under_any_key(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id")
+    text = F.col("doc_id").cast("string")
+    cache = docs.where("doc_id % 4 = 0").select(F.concat(F.lit("a"), text).alias("key"), F.concat(F.lit("first"), text).alias("description")).unionByName(docs.where("doc_id % 3 = 0").select(F.concat(F.lit("u"), text).alias("key"), F.concat(F.lit("second"), text).alias("description")))
+    return state.first_cached(docs, cache, [F.when(F.col("doc_id") % 5 > 0, F.concat(F.lit("a"), text)).otherwise(""), F.concat(F.lit("u"), text)], "description")
+
+
+@query("""WITH p AS (SELECT lang, CASE WHEN doc_id % 6 = 0 THEN NULL ELSE source END AS w1, CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 7 = 1 THEN 'zz' ELSE upper(source) END AS g1, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE 1000.0 + doc_id END AS w2, 1000.0 + doc_id + doc_id % 40 AS g2, doc_id % 9 AS w3, doc_id % 7 AS g3 FROM documents),
+ o AS (SELECT lang, 'source' AS field, CASE WHEN w1 IS NULL THEN CASE WHEN g1 IS NULL THEN 'correct_abstain' ELSE 'over_claimed' END WHEN g1 IS NULL THEN 'missed' WHEN upper(w1) = upper(g1) THEN 'hit' ELSE 'wrong' END AS outcome FROM p
+  UNION ALL SELECT lang, 'pay', CASE WHEN w2 IS NULL THEN 'over_claimed' WHEN abs(w2 - g2) <= w2 * 0.02 THEN 'hit' ELSE 'wrong' END FROM p UNION ALL SELECT lang, 'years', CASE WHEN w3 = g3 THEN 'hit' WHEN abs(w3 - g3) <= 1 THEN 'near' ELSE 'wrong' END FROM p)
+ SELECT lang, field, outcome, count(*) AS rows FROM o GROUP BY ALL""")
+def graded_fields(spark, sf):
+    rows = table(spark, sf, "documents").selectExpr("lang", "CASE WHEN doc_id % 6 = 0 THEN NULL ELSE source END AS want_source", "CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 7 = 1 THEN 'zz' ELSE upper(source) END AS got_source",
+                                                    "CASE WHEN doc_id % 5 = 0 THEN NULL ELSE 1000.0D + doc_id END AS want_pay", "1000.0D + doc_id + doc_id % 40 AS got_pay", "doc_id % 9 AS want_years", "doc_id % 7 AS got_years")
+    return profile.graded(rows, {"source": ("text",), "pay": ("money", 0.02), "years": ("number", 1)}, ["lang"])
+
+
+@query(f"{_L} SELECT seq, regexp_matches(description, '{classify.PAY_HINT}') AND salary_min IS NULL AS hinted FROM l")
+def pay_hints(spark, sf):
+    return listings(spark, sf).select("seq", classify.hinted(F.col("salary_min").isNull()).isNotNull().alias("hinted"))
+
+
+@query("SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) GROUP BY 1")
+def registered_relations(spark, sf):
+    table(spark, sf, "orders").createOrReplaceTempView("held_orders")
+    table(spark, sf, "customer").createOrReplaceTempView("held_customers")
+    return spark.sql("SELECT o_orderstatus, count(*) AS n FROM held_orders WHERE o_custkey IN (SELECT c_custkey FROM held_customers WHERE c_acctbal > 0) GROUP BY 1")

@@ -92,3 +92,19 @@ def roots(df: DataFrame, node: str, parent: str, depth: int = 10) -> DataFrame:
     for _ in range(depth - 1):
         now = now.join(parents, F.col("root") == F.col("__n"), "left").select("node", F.coalesce("__r", "root").alias("root"))
     return now
+
+
+def joined_once(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """left with the columns of right, a row a row: a key that right has twice is an error, not a second row."""
+    rest = [c for c in right.columns if c not in keys]
+    once = right.groupBy(*keys).agg(F.count("*").alias("__n"), F.min(F.struct(*rest)).alias("__r"))
+    whole = left.join(once, keys, "left")
+    sound = F.when(F.col("__n") > 1, F.raise_error(F.concat(F.lit("several rows for "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))).cast("int"))
+    checked = whole.withColumn("__bad", sound).where("__bad IS NULL")
+    return checked.select(*left.columns, *[F.col(f"__r.{c}").alias(c) for c in rest])
+
+
+def samples(df: DataFrame, keys: list[str], text: str, order: str, most: int = 6, shortest: int = 400, longest: int = 20_000) -> DataFrame:
+    """A few rows of each group whose texts are neither too short nor too long, by order."""
+    fitting = df.where(F.length(text).between(shortest, longest))
+    return top_n(fitting, keys, most, F.col(order)).drop("place")

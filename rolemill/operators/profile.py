@@ -48,6 +48,27 @@ def evaluated(labels: DataFrame, predictions: DataFrame, key: str, fields: list[
     })
 
 
+def compared(want: Column, got: Column, kind: str = "text", slack: float = 0.0) -> Column:
+    """hit, near, wrong, missed, over_claimed or correct_abstain for a label and a prediction.
+
+    kind: text (capitals don't matter), money (equal within a share of slack) or number (near within slack).
+    """
+    if kind == "text":
+        same, near = F.upper(want.cast("string")) == F.upper(got.cast("string")), F.lit(False)
+    elif kind == "money":
+        same, near = F.abs(want.cast("double") - got.cast("double")) <= F.abs(want.cast("double")) * slack, F.lit(False)
+    else:
+        same, near = want == got, F.abs(want - got) <= slack
+    both = want.isNotNull() & got.isNotNull()
+    return F.when(both & same, "hit").when(both & near, "near").when(both, "wrong").when(want.isNotNull(), "missed").when(got.isNotNull(), "over_claimed").otherwise("correct_abstain")
+
+
+def graded(pairs: DataFrame, fields: dict[str, tuple[str, float]], by: list[str] = ()) -> DataFrame:
+    """Rows by field (and slice) and outcome; pairs has want_<field> and got_<field>, fields their kinds and slacks."""
+    one = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), compared(F.col(f"want_{f}"), F.col(f"got_{f}"), *kind).alias("outcome")) for f, kind in fields.items()])).alias("x")
+    return pairs.select(*by, one).groupBy(*by, F.col("x.field").alias("field"), F.col("x.outcome").alias("outcome")).agg(F.count("*").alias("rows"))
+
+
 def flag_counts(df: DataFrame, flags: str) -> DataFrame:
     """How often each flag of a comma-separated list is set."""
     return df.select(F.explode(F.split(flags, ",")).alias("flag")).where("flag <> ''").groupBy("flag").agg(F.count("*").alias("rows"))

@@ -71,3 +71,25 @@ def cached(requests: DataFrame, cache: DataFrame, keys: list[str], payload: str,
     """requests with the cached payload as a struct; what can't be decoded is a miss."""
     found = cache.select(*keys, F.from_json(payload, schema, {"mode": "PERMISSIVE"}).alias("payload"))
     return requests.join(latest_of(found, keys, F.col("payload").isNull()), keys, "left").withColumn("hit", F.col("payload").isNotNull())
+
+
+def first_cached(rows: DataFrame, cache: DataFrame, keys: list[Column], value: str) -> DataFrame:
+    """rows with the cached value under the first of several keys that has one; cache: key and the value. Blank keys find nothing."""
+    tried = F.filter(F.array(*[F.struct(F.lit(k).alias("rank"), c.alias("key")) for k, c in enumerate(keys)]), lambda x: x["key"] != "")
+    named = rows.withColumn("__row", F.monotonically_increasing_id()).withColumn("__tried", tried)
+    named = named.select("*", F.explode_outer("__tried").alias("__t")).drop("__tried")
+    one = cache.groupBy(F.col("key").alias("__key")).agg(F.max(value).alias("__value"))
+    found = named.join(one, F.col("__t.key") == F.col("__key"), "left")
+    best = found.groupBy("__row").agg(F.min(F.when(F.col("__value").isNotNull(), F.struct(F.col("__t.rank").alias("rank"), F.col("__value").alias("value"))))["value"].alias(value), F.first(F.struct(*rows.columns)).alias("__own"))
+    return best.select("__own.*", value)
+
+
+def filled_blanks(df: DataFrame, cached: dict[str, Column]) -> DataFrame:
+    """Columns with what is cached where they are blank; what is there stays."""
+    return df.withColumns({c: F.coalesce(F.nullif(F.trim(F.col(c).cast("string")), F.lit("")).cast(dict(df.dtypes)[c]), v) for c, v in cached.items()})
+
+
+def look_capped(df: DataFrame, text: str, cap: int) -> bool:
+    """Whether texts seem to have been cut: some are there, and none is longer than the cap."""
+    r = df.agg(F.count_if(F.length(text) > 0).alias("n"), F.max(F.length(text)).alias("longest")).head()
+    return bool(r["n"]) and r["longest"] <= cap

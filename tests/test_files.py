@@ -5,8 +5,10 @@ import json
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
-from rolemill.operators import filings, lifecycle, sinks
+from rolemill.functions import classify
+from rolemill.operators import filings, groups, lifecycle, sinks, state
 from rolemill.sources import payloads, readers
 
 
@@ -144,3 +146,23 @@ def test_filings(spark):
     assert filings.sponsor_floors(sponsors).head() == ("blueharbor", 30, 2, 3)
     counts = spark.createDataFrame([("t", "2023", 2, 5), ("t", "2024", 3, 7), ("t", "2024", 1, 6), ("t", None, 0, 99)], "k string, as_of string, source_rank int, employees int")
     assert filings.freshest(counts, "k").head().employees == 6
+
+
+def test_joins_that_would_add_rows(spark):
+    left, right = spark.createDataFrame([(1,), (2,), (2,)], "k int"), spark.createDataFrame([(1, "a"), (3, "b"), (3, "c")], "k int, v string")
+    assert sorted(map(tuple, groups.joined_once(left, right, ["k"]).collect()), key=str) == [(1, "a"), (2, None), (2, None)]
+    with pytest.raises(Exception, match="several rows for 3"):
+        groups.joined_once(spark.createDataFrame([(3,)], "k int"), right, ["k"]).collect()
+
+
+def test_cached_fields(spark):
+    df = spark.createDataFrame([("", "x"), ("own", None)], "a string, b string")
+    filled = state.filled_blanks(df, {"a": F.lit("kept"), "b": F.lit("kept")})
+    assert [tuple(r) for r in filled.collect()] == [("kept", "x"), ("own", "kept")]
+    assert state.look_capped(df, "a", 3) and not state.look_capped(df, "a", 2) and not state.look_capped(df.where("a = ''"), "a", 3)
+
+
+def test_answers_without_a_model(spark):
+    said = "You have 5 years of experience with mills. " * 4
+    row = spark.createDataFrame([("Senior Welder (Remote)", said), ("Welder", "short"), ("Welder", None)], "title string, description string").select(classify.offline_answer().alias("x")).collect()
+    assert [(r.x.insufficient_text, r.x.seniority, r.x.placement, r.x.experience) for r in row] == [(False, "SENIOR", "remote", 5), (True, None, None, None), (True, None, None, None)]
