@@ -158,12 +158,12 @@ def exact_passes(rows: DataFrame, cut=written) -> DataFrame:
     return cut(rows)
 
 
-def deduplicated(rows: DataFrame, cut=written) -> Outcome:
-    """All passes over keys(). cut: what ends the lineage of a table that is read several times."""
-    rows = cut(by_similar_title(exact_passes(rows, cut)))
+def deduplicated(rows: DataFrame, cut=written, limit: int = BLOCK_LIMIT) -> Outcome:
+    """All passes over keys(). cut: what ends the lineage of a table that is read several times; limit: of blocks of titles."""
+    rows = cut(by_similar_title(exact_passes(rows, cut), limit))
     pairs = cut(gated_pairs(rows))
     rows = cut(rows.join(pairs, F.col("seq") == F.col("donor"), "left_anti"))
-    more = cut(similar_gated_pairs(rows))
+    more = cut(similar_gated_pairs(rows, limit))
     return Outcome(rows.join(more, F.col("seq") == F.col("donor"), "left_anti"), pairs.unionByName(more))
 
 

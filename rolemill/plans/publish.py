@@ -40,11 +40,14 @@ def derived(df: DataFrame) -> DataFrame:
     return df.withColumn("region", F.coalesce(present("region") if "region" in have else F.lit(None), continent_of(F.col("country_iso")))) if "country_iso" in df.columns else df
 
 
-def published(listings: DataFrame, sightings: DataFrame, now: str, cut: Callable[[DataFrame], DataFrame]) -> Published:
-    """listings: rows of all sources with seq, their order of ingest. cut: ends the lineage of a table read several times."""
+def published(listings: DataFrame, sightings: DataFrame, now: str, cut: Callable[[DataFrame], DataFrame], limit: int = dedup.BLOCK_LIMIT) -> Published:
+    """listings: rows of all sources with seq, their order of ingest. cut: ends the lineage of a table read several times.
+
+    limit: rows of a block of titles that are compared with each other; with 0 only equal keys make duplicates.
+    """
     tagged = cut(derived(listings).withColumn("quarantine_reason", quarantine.reason(listings, now)))
     kept, rejected = tagged.where("quarantine_reason IS NULL").drop("quarantine_reason"), tagged.where("quarantine_reason IS NOT NULL")
-    found = dedup.deduplicated(dedup.keys(kept), cut)
+    found = dedup.deduplicated(dedup.keys(kept), cut, limit)
     survivors = kept.join(found.survivors.select("seq"), "seq", "left_semi")
     rows = dedup.donated(survivors, kept, found.pairs)
     rows = stamped(rows, sightings, F.lit(now).cast("timestamp"))

@@ -369,6 +369,25 @@ def publish_snapshot(spark, sf):
     return rows.select("seq", "ats_type", "title", "company", "country_iso", "seniority", "salary_min", "salary_max", "salary_source", "first_seen_at", "last_seen_at")
 
 
+_SOUND = _PASSES.replace(LISTINGS_SQL, f"SELECT * FROM (SELECT *, {_REASON} AS reason FROM ({LISTINGS_SQL})) WHERE reason IS NULL")
+
+
+@query(f"""{_SOUND}, own AS (SELECT norm, slug, arg_min(seq, rank * 1000000000 + seq) AS anchor FROM p5 WHERE rank = 1 AND norm <> '' AND slug <> '' GROUP BY norm, slug),
+ pairs AS (SELECT p5.seq AS donor, own.anchor FROM p5 JOIN own USING (norm, slug) WHERE p5.ats_type = 'welcometothejungle'), left_over AS (SELECT * FROM p5 WHERE seq NOT IN (SELECT donor FROM pairs)),
+ priced AS (SELECT k.seq, k.ats_type, k.norm, k.slug, l.salary_min, l.salary_max, l.salary_currency FROM k JOIN l USING (seq) WHERE k.ats_type = 'welcometothejungle' AND (l.salary_min IS NOT NULL OR l.salary_max IS NOT NULL) AND k.seq NOT IN (SELECT seq FROM left_over)),
+ direct AS (SELECT norm, slug, min(seq) AS found FROM left_over WHERE rank = 1 GROUP BY norm, slug),
+ gifts AS (SELECT coalesce(anchor, found) AS target, min(struct_pack(seq := seq, giver := ats_type, a := salary_min, b := salary_max, c := salary_currency)) AS gift FROM priced LEFT JOIN pairs ON donor = seq LEFT JOIN direct USING (norm, slug) WHERE coalesce(anchor, found) IS NOT NULL GROUP BY 1)
+ SELECT s.seq, s.ats_type, s.country AS country_iso, CASE WHEN takes THEN gift.a ELSE salary_min END AS salary_min, CASE WHEN takes THEN gift.b ELSE salary_max END AS salary_max, CASE WHEN takes THEN gift.c ELSE salary_currency END AS salary_currency,
+  CASE WHEN takes THEN gift.giver END AS salary_source, TIMESTAMP '{NOW}' AS first_seen_at FROM (SELECT left_over.*, l.salary_min, l.salary_max, l.salary_currency, gift, gift IS NOT NULL AND l.salary_min IS NULL AND l.salary_max IS NULL AS takes FROM left_over JOIN l USING (seq) LEFT JOIN gifts ON target = seq) s""")
+def publish_equal_keys(spark, sf):
+    """Publishing as a whole, but for the two passes over similar titles, which SQL can't express."""
+    from rolemill.plans.publish import published
+
+    blank = spark.createDataFrame([], "seen_key string, first_seen_at timestamp")
+    rows = published(listings(spark, sf), blank, NOW, lambda df: stored(df, "publish"), limit=0).snapshot
+    return rows.select("seq", "ats_type", "country_iso", "salary_min", "salary_max", "salary_currency", "salary_source", "first_seen_at")
+
+
 # ---- state ----
 
 @query(f"""{_L}, k AS (SELECT seq, CASE WHEN ats_id <> '' THEN ats_type || '|' || ats_id ELSE url END AS seen_key FROM l), old AS (SELECT DISTINCT seen_key FROM k WHERE seq % 3 = 0)
