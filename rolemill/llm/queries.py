@@ -44,8 +44,9 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    vocabulary = lm_scoring.vocabulary(docs)
-    return lm_scoring.scored(docs, lm_scoring.trained(docs, vocabulary), vocabulary)
+    words = lm_scoring.words(docs)
+    vocabulary = lm_scoring.vocabulary(words)
+    return lm_scoring.scored(docs, lm_scoring.trained(docs, vocabulary), vocabulary, words)
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
