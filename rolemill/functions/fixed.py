@@ -249,3 +249,40 @@ ROLE_OPENER = (
     r"|are\s+you\b|do\s+you\b)"
 )
 ORGANISATION_KINDS = ["organization", "corporation", "localbusiness", "ngo", "educationalorganization", "governmentorganization", "medicalorganization"]
+
+# --- fixed values: hosts of boards, labels of career hosts, endings of two parts, hosts that say nothing of an employer ---
+BOARD_HOSTS = [
+    "job-boards.greenhouse.io", "boards.greenhouse.io", "jobs.ashbyhq.com", "jobs.lever.co", "apply.workable.com", "jobs.workable.com",
+    "myworkdayjobs.com", "eightfold.ai", "jobs.personio.com", "jobs.personio.de", "recruitee.com", "teamtailor.com", "breezy.hr",
+    "applytojob.com", "bamboohr.com", "smartrecruiters.com", "icims.com", "jobvite.com", "taleo.net", "successfactors.com",
+    "oraclecloud.com", "avature.net", "phenompeople.com", "join.com", "pinpointhq.com", "rippling-ats.com", "gupy.io", "zhiye.com",
+    "mokahr.com", "darwinbox.in", "dayforcehcm.com", "ultipro.com", "paylocity.com", "adp.com", "cornerstoneondemand.com",
+    "pageuppeople.com", "jazz.co", "applicantpro.com", "gem.com", "csod.com", "recruiterbox.com", "hire.trakstar.com", "trakstar.com",
+    "jobs.jobvite.com", "myworkdaysite.com", "wd1.myworkdayjobs.com", "eu.greenhouse.io", "jobs.eu.lever.co", "hrmdirect.com",
+    "silkroad.com", "brassring.com", "peoplefluent.com", "clearcompany.com", "workforcenow.adp.com", "paycomonline.net", "paycor.com",
+    "isolvedhire.com", "jobs.smartrecruiters.com", "ashbyhq.com", "greenhouse.io", "lever.co", "workable.com", "personio.com",
+    "workday.com",
+]
+CAREER_LABELS = [
+    "careers", "career", "jobs", "job", "apply", "applications", "opportunities", "opportunity", "recruiting", "recruitment", "hiring",
+    "talent", "work", "join", "bewerben", "empleo", "emplois", "karriere", "candidate", "candidates", "search", "www",
+]
+TWO_PART_ENDINGS = [
+    "co.uk", "org.uk", "ac.uk", "gov.uk", "co.jp", "co.nz", "co.za", "com.au", "com.br", "com.mx", "com.sg", "co.in", "com.cn",
+]
+NOISE_HOSTS = [
+    "google.com", "www.google.com", "gstatic.com", "googleapis.com", "gravatar.com", "twitter.com", "x.com", "facebook.com",
+    "instagram.com", "linkedin.com", "youtube.com", "github.com", "medium.com", "glassdoor.com", "indeed.com", "apple.com",
+    "microsoft.com", "adobe.com", "cloudflare.com", "amazonaws.com", "cloudfront.net", "jsdelivr.net", "unpkg.com", "fontawesome.com",
+    "bootstrapcdn.com", "typekit.net", "hotjar.com", "segment.com", "sentry.io", "intercom.com", "hubspot.com", "vimeo.com", "w3.org",
+    "schema.org", "mozilla.org", "wikipedia.org", "tiktok.com", "threads.net", "bsky.app", "mailchimp.com", "calendly.com", "notion.so",
+    "eeoc.gov", "dol.gov", "sec.gov", "ada.gov", "uscis.gov",
+]
+CAREERS_PATH = (
+    r"(?i)(?:^|/)(?:careers?|jobs?|job-openings|open-roles|open-positions|opportunities|join-us|joinus|join-our-team|work-with-us"
+    r"|work-for-us|work-here|employment|life-at-[\w-]+|why-[\w-]+)(?:/|$|[?#.])"
+)
+CAREERS_LABEL = (
+    r"(?i)^\W*(?:careers?|jobs?|join\s+us|join\s+our\s+team|work\s+with\s+us|we(?:'|’)?re\s+hiring|open\s+roles|open\s+positions"
+    r"|life\s+at\s+.{0,30}|view\s+(?:all\s+)?(?:jobs|openings))\W*$"
+)

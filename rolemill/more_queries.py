@@ -7,7 +7,7 @@ import zipfile
 
 from pyspark.sql import functions as F
 
-from rolemill.functions import classify, fixed, keys, names, prose
+from rolemill.functions import classify, fixed, keys, names, prose, sites
 from rolemill.functions import text as tx
 from rolemill.operators import filings, gazetteer, groups, lifecycle, profile, sinks, state
 from rolemill.plans.adapted import LISTINGS_SQL, listings, table
@@ -397,3 +397,24 @@ def registered_relations(spark, sf):
     table(spark, sf, "orders").createOrReplaceTempView("held_orders")
     table(spark, sf, "customer").createOrReplaceTempView("held_customers")
     return spark.sql("SELECT o_orderstatus, count(*) AS n FROM held_orders WHERE o_custkey IN (SELECT c_custkey FROM held_customers WHERE c_acctbal > 0) GROUP BY 1")
+
+
+# ---- sites ----
+
+_LABELS = [*fixed.CAREER_LABELS, "news", "blog", "shop", "eu"]
+_SITE = f"CASE doc_id % 3 WHEN 0 THEN 'https://' WHEN 1 THEN 'HTTP://' ELSE '' END || CASE CAST(floor(doc_id / 3) AS BIGINT) % {len(_LABELS)} " + " ".join(f"WHEN {k} THEN '{x}'" for k, x in enumerate(_LABELS)) + " END || '.' || CASE doc_id % 4 WHEN 0 THEN 'firm' || CAST(doc_id AS VARCHAR(9)) || '.example' WHEN 1 THEN 'Firm' || CAST(doc_id AS VARCHAR(9)) || '.co.uk' WHEN 2 THEN 'firm.breezy.hr' ELSE 'jobs.firm' || CAST(doc_id AS VARCHAR(9)) || '.com' END || '/a?b'"
+
+
+@query(f"""WITH s AS (SELECT doc_id, {_SITE} AS url FROM documents), h AS (SELECT doc_id, url, regexp_replace(regexp_extract(lower(url), '^(?:https?://)?([^/]+)', 1), '^www\\.', '') AS host FROM s)
+ SELECT doc_id, CASE WHEN ends_with(host, '.breezy.hr') THEN NULL WHEN split_part(host, '.', 1) IN ({_in(fixed.CAREER_LABELS)}) AND doc_id % 4 = 3 THEN regexp_replace(host, '^(?:[^.]+\\.)?jobs\\.', '')
+  WHEN doc_id % 4 < 2 AND split_part(host, '.', 1) IN ({_in(fixed.CAREER_LABELS)}) THEN regexp_replace(host, '^[^.]+\\.', '') ELSE host END AS domain FROM h""")
+def employers_domains(spark, sf):
+    rows = table(spark, sf, "documents").selectExpr("doc_id", f"{_SITE} AS url")
+    return rows.select("doc_id", sites.corporate_domain("url").alias("domain"))
+
+
+@query()
+def page_links(spark, sf):
+    """Of each page the employer's domain that it gives and the careers page that it links to; tests hold both against pages."""
+    rows = table(spark, sf, "pages").withColumn("own", sites.corporate_domain("url"))
+    return rows.select("page_id", "own", sites.careers_link(F.col("html"), F.col("url"), F.col("own")).alias("careers"), sites.employer_domain(F.col("html"), F.col("url"), F.split_part(F.col("own"), F.lit("."), F.lit(1))).alias("domain"))
