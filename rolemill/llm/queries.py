@@ -92,6 +92,17 @@ p AS (SELECT d.doc_id, d.size, e.source_size, e.target, e.epochs, e.target - e.e
 SELECT doc_id, size, source_size, target,
        (least(2, epochs + CASE WHEN start < budget AND start + size / 2 <= budget THEN 1 ELSE 0 END) * size)::BIGINT AS taken
 FROM p""",
+    "op9_ngram_join": rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) >= 4 THEN [array_to_string(words[i:i + 3], ' ') FOR i IN range(1, len(words) - 2)]
+                                          WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.size + y.size - shared)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT d.doc_id, coalesce(n.size, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(m.low, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a, min(b) AS low FROM r GROUP BY a) m ON m.a = d.doc_id""",
     "op10_quality_rules": rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS words FROM documents),
 l AS (SELECT doc_id, text, words, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
