@@ -278,15 +278,22 @@ class Scanner:
         self.classes = automaton.classes.astype(np.int32)
 
     def accepting(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Positions whose byte first completes a match of any rule, and their masks.
+        """Positions whose byte first completes a match of any rule, and their masks; BLOCK bytes at a time."""
+        found, masks, state = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], START
+        for low in range(0, len(data), BLOCK):
+            at, mask, state = self._block(data[low : low + BLOCK], state)
+            found.append(at + low)
+            masks.append(mask)
+        return np.concatenate(found), np.concatenate(masks)
+
+    def _block(self, data: bytes, state: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """The same for one block that begins in a state, and the state that it ends in; full blocks need no filling up.
 
         The bytes are dealt to lanes of equal length, which all take one byte a step, each from the start state. A lane that
         should have begun in another state is walked again from there until it meets the states that it already has, which
         with such rules takes a few bytes; so the result is that of one pass from left to right.
         """
         n = len(data)
-        if not n:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         lanes = max(1, min(LANES, n // 64))
         length = -(-n // lanes)
         raw = np.full(lanes * length, GAP, np.uint8)
@@ -294,6 +301,7 @@ class Scanner:
         columns = np.ascontiguousarray(self.classes[raw].reshape(lanes, length).T)
         states = np.empty((length, lanes), np.int32)
         now = np.zeros(lanes, np.int32)
+        now[0] = state
         for i in range(length):
             now = np.take(self.step, now + columns[i], out=states[i], mode="clip")
         step = self.step
@@ -311,4 +319,4 @@ class Scanner:
         flat = states.T.reshape(-1)
         at = np.flatnonzero(flat >= self.floor)
         at = at[at < n]
-        return at, self.automaton.accepts[flat[at] // self.width]
+        return at, self.automaton.accepts[flat[at] // self.width], int(states[-1, -1])

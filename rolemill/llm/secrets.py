@@ -7,8 +7,9 @@ overlap; those whose body is too short are dropped after that, and still use up
 A rule is a head and a body that any longer run only makes longer; the body's length in characters is what counts. The base rules are assign, access and hex.
 The others are formats that name themselves, so that ordinary text is left alone.
 
-Null texts count as empty and have no spans. Repeated rows are scanned each. Very long texts are scanned whole, one block
-of bytes at a time for short texts and in one block of their own for long ones. Extra columns are not read.
+Null texts count as empty and have no spans. Repeated rows are scanned each. Very long texts are scanned whole, a block of
+bytes at a time, and the automaton's state goes on from one to the next. Spans that begin together are ordered by kind, as
+the rules are listed. Extra columns are not read; an empty table gives an empty table.
 """
 
 from __future__ import annotations
