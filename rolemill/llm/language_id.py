@@ -5,7 +5,8 @@ exactly zero; a temperature fitted on rows that training left aside then calibra
 bounded sample of labelled rows, spread evenly over the languages; document frequencies are part of that fit.
 
 Null texts and texts without a letter are und with score 0. Rows with a null language are not learned from. Repeated rows
-get equal predictions. Without any labelled row every text is und.
+get equal predictions, very long texts are read whole; rows that tie in doc_id are learned from in the order of their texts.
+Extra columns are not read. An empty table gives an empty table; without any labelled row every text is und.
 """
 
 from __future__ import annotations
@@ -19,11 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rolemill.llm.quality_classifier import held_out
-from rolemill.llm.textarrays import byte_ngram_buckets
+from rolemill.llm.quality_classifier import held_out, within
+from rolemill.llm.textarrays import code_points, ngram_buckets
 
-#: Labelled rows that training takes at most, chosen by a hash of doc_id.
+#: Labelled rows that training takes on average, chosen by a hash of doc_id; twice as many and so many bytes at most.
 SAMPLE_ROWS = 3000
+SAMPLE_BYTES = 1 << 26
 BITS = 15
 BUCKETS = 1 << BITS
 LETTER = re.compile(r"[^\W\d_]")
@@ -31,9 +33,9 @@ FOLDS, FOLD = 3, 1
 
 
 def counts(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the one- to four-byte n-grams of the whole text in lower case, and how often each occurs."""
-    data = f" {text.lower()} ".encode()
-    found = np.bincount(np.concatenate(byte_ngram_buckets(data, (1, 2, 3, 4), BITS)), minlength=BUCKETS)
+    """Buckets of the n-grams of one to four characters of the whole text in lower case, and how often each occurs."""
+    codes = code_points(f" {text.lower()} ")
+    found = np.bincount(np.concatenate(ngram_buckets(codes, (1, 2, 3, 4), BITS)), minlength=BUCKETS)
     bucket = np.flatnonzero(found)
     return bucket, found[bucket]
 
@@ -116,16 +118,26 @@ def calibrated(model: Model, rows: list, goal: np.ndarray) -> float:
     return min((float(t) for t in np.geomspace(0.05, 20, 120)), key=loss)
 
 
-def sample(docs: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[list[str], list[str]]:
-    """Whole texts and languages of at most so many rows outside the held-out fold, as many for each language."""
+def sample(docs: DataFrame, rows: int = SAMPLE_ROWS, most: int = SAMPLE_BYTES) -> tuple[list[str], list[str]]:
+    """Whole texts and languages of rows outside the held-out fold, about as many for each language.
+
+    Of more languages than rows the commonest are learned. Ids and lengths are looked at first, so that no task and not the
+    driver holds more texts than the bound says.
+    """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(FOLDS, FOLD))
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(rows).collect()
     if not sizes:
         return [], []
-    each = rows // len(sizes) or 1
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, each / n))])
+    each, spark = max(1, rows // len(sizes)), docs.sparkSession
+    share = spark.createDataFrame([(r["lang"], min(1.0, each / r["n"])) for r in sizes], "lang string, share double")
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000.0
-    got = known.where(draw < share[F.col("lang")]).select("doc_id", "text", "lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(2 * rows).select("text", "lang").toArrow()
+    drawn = known.select("doc_id", "lang", F.octet_length("text").alias("bytes")).join(F.broadcast(share), "lang").where(draw < F.col("share"))
+    drawn = drawn.groupBy("doc_id").agg(F.sum("bytes").alias("bytes")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * rows)
+    chosen = within(drawn.collect(), most)
+    if not chosen:
+        return [], []
+    wanted = spark.createDataFrame([(r["doc_id"],) for r in chosen], "doc_id long")
+    got = known.select("doc_id", "text", "lang").join(F.broadcast(wanted), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(2 * rows).select("text", "lang").toArrow()
     return got.column("text").to_pylist(), got.column("lang").to_pylist()
 
 

@@ -7,9 +7,10 @@ word before, and three-word windows that the text has had already, count as n-gr
 
 With two labels, the softmax of averages depends on each bucket through one number, so that scoring adds those up.
 
-Nulls count as empty; empty texts score by the bias alone. Repeated rows get equal scores. Rows of labels without a
-document, null labels and labels other than 0 and 1 are left out; of several labels for a document the largest counts.
-Without any labelled row every text scores 0.5.
+Nulls count as empty; empty texts score by the bias alone. Repeated rows get equal scores, very long texts are scored whole.
+Rows of labels without a document, null labels and labels other than 0 and 1 are left out; of several labels for a document
+the largest counts, and rows that tie in doc_id are learned from in the order of their texts. Extra columns are not read. An
+empty table of documents gives an empty table; without any labelled row every text scores 0.5.
 """
 
 from __future__ import annotations
@@ -22,10 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rolemill.llm.textarrays import as_bytes, buckets, byte_ngram_buckets, windows, word_hashes
+from rolemill.llm.textarrays import as_bytes, buckets, code_points, ngram_buckets, windows, word_hashes
 
-#: Labelled rows that training takes at most, chosen by a hash of doc_id.
+#: Labelled rows that training takes at most, chosen by a hash of doc_id, and bytes of their texts.
 SAMPLE_ROWS = 2500
+SAMPLE_BYTES = 1 << 26
 BITS = 16
 BUCKETS = 1 << BITS
 #: Buckets of words, buckets of characters, and one for each kind of repetition.
@@ -45,7 +47,7 @@ def ngrams(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     same = np.count_nonzero(words[1:] == words[:-1])
     seen = len(triples) - len(np.unique(triples))
     word = np.concatenate([buckets(words, BITS), buckets(pairs, BITS), np.full(same, SAME, np.int32), np.full(seen, SEEN, np.int32)])
-    return word, np.concatenate(byte_ngram_buckets(data, (3, 4, 5), BITS)) + BUCKETS
+    return word, np.concatenate(ngram_buckets(code_points(data.decode()), (3, 4, 5), BITS)) + BUCKETS
 
 
 @dataclass(frozen=True)
@@ -108,11 +110,30 @@ def held_out(folds: int, fold: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds)).eqNullSafe(F.lit(fold))
 
 
-def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[list[bytes], list[int]]:
-    """Whole texts and labels of at most so many labelled rows outside the held-out fold."""
+def within(rows: list, most: int) -> list:
+    """Those of the rows, which have bytes, that fit into so many bytes when taken in order; what doesn't fit is passed over."""
+    kept, left = [], most
+    for r in rows:
+        if r["bytes"] <= left:
+            kept.append(r)
+            left -= r["bytes"]
+    return kept
+
+
+def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, most: int = SAMPLE_BYTES) -> tuple[list[bytes], list[int]]:
+    """Whole texts and labels of at most so many labelled rows and bytes outside the held-out fold.
+
+    Ids and lengths are looked at first, so that no task and not the driver holds more texts than that.
+    """
     known = labels.where(F.col("quality").isin(0, 1) & ~held_out(FOLDS, 0)).groupBy("doc_id").agg(F.max("quality").alias("label"))
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    found = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(rows)
+    sizes = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes")).join(F.broadcast(picked), "doc_id")
+    sizes = sizes.groupBy("doc_id", "label").agg(F.sum("bytes").alias("bytes"))  # rows with one doc_id come together
+    chosen = within(sizes.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect(), most)
+    if not chosen:
+        return [], []
+    wanted = docs.sparkSession.createDataFrame([(r["doc_id"], r["label"]) for r in chosen], "doc_id long, label int")
+    found = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(rows)
     got = found.select("text", "label").toArrow()
     return as_bytes(got.column("text").combine_chunks()), got.column("label").to_pylist()
 

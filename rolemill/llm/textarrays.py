@@ -67,9 +67,13 @@ def windows(hashes: np.ndarray, n: int) -> np.ndarray:
     return mixed(out)
 
 
-def byte_ngram_buckets(data: bytes, sizes: tuple[int, ...], bits: int) -> list[np.ndarray]:
-    """For each size, the bucket (of 2**bits) of each run of so many bytes; sizes ascend."""
-    raw = np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1)
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
+
+
+def ngram_buckets(codes: np.ndarray, sizes: tuple[int, ...], bits: int) -> list[np.ndarray]:
+    """For each size, the bucket (of 2**bits) of each run of so many codes, such as characters; sizes ascend."""
+    raw = codes.astype(np.uint64) + np.uint64(1)
     out, now, length = [], raw, 1
     for n in sizes:
         while length < n:
