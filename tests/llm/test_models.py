@@ -61,3 +61,40 @@ def test_gradient_matches_differences():
     was, eps = loss(), 1e-2
     network.out[3, classes[0]] += eps
     assert abs((loss() - was) / eps - grad) < 5e-3
+
+
+def test_scores_follow_ngrams_one_by_one():
+    """Both classifiers against sums over n-grams that are cut out of the text as strings."""
+    rng = random.Random(5)
+    made = [(prose(rng) + " Straße naïve 日本語", i % 2) for i in range(40)]
+    quality = quality_classifier.trained([t.encode() for t, _ in made], [y for _, y in made])
+    language = language_id.trained([t for t, _ in made], ["en" if y else "fr" for _, y in made])
+
+    def bucket(piece, bits):
+        code = 0
+        for c in piece:
+            code = (code * 0x9E3779B97F4A7C15 + ord(c) + 1) % 2**64
+        return (code * 0xD6E8FEB86659FD93) % 2**64 >> (64 - bits)
+
+    def pieces(text, sizes):
+        return [text[i : i + n] for n in sizes for i in range(len(text) - n + 1)]
+
+    for text in (made[0][0], "Él río", "a", "x y x y x y"):
+        words, chars = quality_classifier.ngrams(text.encode())
+        assert sorted(chars - quality_classifier.BUCKETS) == sorted(bucket(x, quality_classifier.BITS) for x in pieces(text, (3, 4, 5)))
+        odds = quality.bias + sum(sum(float(quality.weight[b]) for b in part) / len(part) for part in (words, chars) if len(part))
+        assert abs(quality.score(text.encode()) - 1 / (1 + np.exp(-odds))) < 1e-5
+        found = {}
+        for x in pieces(f" {text.lower()} ", (1, 2, 3, 4)):
+            found[bucket(x, language_id.BITS)] = found.get(bucket(x, language_id.BITS), 0) + 1
+        value = {b: (1 + np.log(c)) * language.idf[b] for b, c in found.items()}
+        norm = np.sqrt(sum(v * v for v in value.values()))
+        logits = np.array([sum(v / norm * language.weight[b][k] for b, v in value.items()) + language.bias[k] for k in range(2)]) / language.temperature
+        best = int(logits.argmax())
+        want = 1 / np.exp(logits - logits.max()).sum()
+        assert language.predict(text)[0] == language.languages[best] and abs(language.predict(text)[1] - want) < 1e-6
+
+
+def test_samples_keep_to_their_bytes():
+    rows = [{"bytes": n} for n in (5, 90, 3, 200, 2)]
+    assert [r["bytes"] for r in quality_classifier.within(rows, 100)] == [5, 90, 3, 2]
