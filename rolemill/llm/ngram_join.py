@@ -8,8 +8,9 @@ sequence is the one shingle. Two documents link when 100 * intersection >= perce
    linked sets share at least percent of each one's members, they share one of the first members of each, so many that
    the rest of it would be too few. Each set emits those members. Among sets with a common one, the bounds of their points in an
    R-tree tell which may be linked, and sets that such possible links connect are one block. Members that many sets have, as
-   those of common passages, come last in the order, so that they bring together only sets that have little else. Where more than RUN sets have a
-   member, all of them are one block.
+   those of common passages, come last in the order, so that they bring together only sets that have little else. Where more
+   than RUN sets have a member, it has to come with a second one: linked sets also share the next of their common members,
+   which is among the first of each and one more. Only where more than RUN sets share both are all of them one block.
    How rare a member is, is read off a sketch of fixed size over all documents; any order is right, a good one is fast.
 3. In each block, an R-tree over count vectors finds the sets in reach of each set; those are compared in full unless they
    are connected already. Large blocks are dealt to tiles of bounded size, and a few sets of the block go to every tile.
@@ -49,6 +50,8 @@ PIVOTS = 24
 SKETCH, SUMS = 1 << 19, 8
 #: Sets with a common member that are held against each other.
 RUN = 5000
+#: Bytes of the bitmap of members that more sets have, and rows of texts that Python holds at once.
+OFTEN, SLICE = 1 << 21, 512
 
 
 def shingles(data: bytes, width: int) -> np.ndarray:
@@ -63,11 +66,36 @@ def digest(members: np.ndarray) -> bytes:
     return hashlib.blake2b(members.tobytes(), digest_size=16).digest()
 
 
-def first_members(members: np.ndarray, percent: int, counts: np.ndarray) -> np.ndarray:
-    """The rarest members of a set, of which any set that is linked with it has one among its own."""
-    needed = -(-percent * len(members) // 100)
+def needed(members: np.ndarray, percent: int) -> int:
+    """Members that a set has in common with any set that is linked with it, at least."""
+    return -(-percent * len(members) // 100)
+
+
+def first_members(members: np.ndarray, percent: int, counts: np.ndarray, more: int = 0) -> np.ndarray:
+    """The rarest members of a set, of which any set that is linked with it has one among its own, or with more as many more."""
     order = np.lexsort((members, counts[sketched(members)]))
-    return mixed(members[order[: len(members) - needed + 1]])
+    return mixed(members[order[: len(members) - needed(members, percent) + 1 + more]])
+
+
+def paired_members(members: np.ndarray, percent: int, counts: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """Keys of pairs: each first member that many sets have with each other one among the first and one more.
+
+    The first two members that linked sets have in common are such a pair in both. Sets that may have but one in common have
+    that one as a key by itself.
+    """
+    first = first_members(members, percent, counts)
+    first = first[marked(first, often)]
+    if not len(first):
+        return first
+    second = first_members(members, percent, counts, 1)
+    pairs = mixed(first[:, None] * np.uint64(0x9E3779B97F4A7C15) + second[None, :])[first[:, None] != second[None, :]]
+    return np.concatenate([pairs, mixed(first + np.uint64(1))]) if needed(members, percent) < 2 else pairs
+
+
+def marked(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Whether a bitmap has the bits of keys."""
+    at = (keys % np.uint64(8 * len(bits))).astype(np.int64)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
 def sketched(members: np.ndarray) -> np.ndarray:
@@ -84,7 +112,7 @@ def _profile(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n", "digest", "sid", "point", "sketch"]
         sketch = np.zeros(SKETCH, np.int64)
-        for batch in batches:
+        for batch in _slices(batches):
             sizes, digests, points = [], [], []
             for t in as_bytes(batch.column("text")):
                 s = shingles(t, width)
@@ -120,20 +148,27 @@ def bucket_counts(profile: DataFrame) -> np.ndarray:
     return sum((np.frombuffer(r["sketch"], np.int64) for r in sums), np.zeros(SKETCH, np.int64))
 
 
-def _firsts(width: int, percent: int, counts: np.ndarray):
-    """(key, sid) of the first members of each set, once for equal sets of a batch."""
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A few rows at a time, so that few texts are Python's at once."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, SLICE):
+            yield batch.slice(low, SLICE)
+
+
+def _keys(width: int, of):
+    """(key, sid) of each set, once for equal sets of a slice; of: the keys of a set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             keys, owners, seen = [], [], set()
             for t in as_bytes(batch.column("text")):
                 s = shingles(t, width)
                 sid = _sid(digest(s))
                 if len(s) and sid not in seen:
                     seen.add(sid)
-                    keys.append(first_members(s, percent, counts).view(np.int64))
+                    keys.append(of(s).view(np.int64))
                     owners.append(np.full(len(keys[-1]), sid, np.int64))
-            if keys:
+            if sum(map(len, keys)):
                 yield _table({"key": np.concatenate(keys), "sid": np.concatenate(owners)})
 
     return run
@@ -143,8 +178,8 @@ def _table(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns.values()], list(columns))
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, np.ndarray]]:
-    """Sids of each key that several sets have, from rows sorted by key and sid; a long run comes in pieces (True, sids)."""
+def _runs(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int, bool, np.ndarray]]:
+    """Key and sids of each key that several sets have, from rows sorted by key and sid; a long run comes in pieces (key, True, sids)."""
     last, flushed = np.zeros((0, 2), np.int64), False
     for batch in batches:
         rows = np.column_stack([batch.column("key").to_numpy(), batch.column("sid").to_numpy()])
@@ -155,36 +190,43 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, np.ndarray]
         ends = np.append(starts[1:], len(rows))
         for a, b in zip(starts[:-1], ends[:-1], strict=True) if len(starts) > 1 else ():
             if b - a > 1:
-                yield flushed and a == 0, rows[a:b, 1]
+                yield int(rows[a, 0]), flushed and a == 0, rows[a:b, 1]
         flushed = flushed and len(starts) == 1
         last = rows[starts[-1] :]
-        if len(last) > RUN:
-            yield True, last[:, 1]
+        if len(last) > most:
+            yield int(last[0, 0]), True, last[:, 1]
             last, flushed = last[[0, -1]], True  # the run goes on from its first sid, however little is left of it
     if len(last) > 1:
-        yield flushed, last[:, 1]
-
-
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(team, sid) of sets that share a member; members that the same sets have make one team. Links where a run is long."""
-    teams, sids, seen = [], [], set()
-    for long, run in _runs(batches):
-        if long or len(run) > RUN:
-            yield _linked(np.full(len(run) - 1, run[0]), run[1:])
-            continue
-        team = int(mixed(np.array([mixed(run.view(np.uint64)).sum() + np.uint64(len(run))], np.uint64)).view(np.int64)[0])
-        if team in seen:
-            continue
-        if len(seen) > 1_000_000:
-            seen.clear()
-        seen.add(team)
-        teams.append(np.full(len(run), team, np.int64))
-        sids.append(run)
-        if len(teams) >= 10_000:
+        yield int(last[0, 0]), flushed, last[:, 1]
+
+
+def _shared(most: int, often: bool):
+    """(team, sid) of sets that share a member; members that the same sets have make one team.
+
+    Of a run longer than most comes its key as sid, without a team, where often is true; else the links that chain its sets.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        teams, sids, seen = [], [], set()
+        for key, long, found in _runs(batches, most):
+            if long or len(found) > most:
+                yield _linked(np.array([key]), np.array([key])) if often else _linked(np.full(len(found) - 1, found[0]), found[1:])
+                continue
+            team = int(mixed(np.array([mixed(found.view(np.uint64)).sum() + np.uint64(len(found))], np.uint64)).view(np.int64)[0])
+            if team in seen:
+                continue
+            if len(seen) > 1_000_000:
+                seen.clear()
+            seen.add(team)
+            teams.append(np.full(len(found), team, np.int64))
+            sids.append(found)
+            if len(teams) >= 10_000:
+                yield _teamed(np.concatenate(teams), np.concatenate(sids))
+                teams, sids = [], []
+        if teams:
             yield _teamed(np.concatenate(teams), np.concatenate(sids))
-            teams, sids = [], []
-    if teams:
-        yield _teamed(np.concatenate(teams), np.concatenate(sids))
+
+    return run
 
 
 def _teamed(team: np.ndarray, sid: np.ndarray) -> pa.RecordBatch:
@@ -195,6 +237,15 @@ def _linked(sid: np.ndarray, other: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.nulls(len(sid), pa.int64()), pa.array(sid), pa.array(other)], ["team", "sid", "other"])
 
 
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A bitmap of fixed size over the keys of a task."""
+    bits = np.zeros(8 * OFTEN, bool)
+    for batch in batches:
+        bits[(batch.column("sid").to_numpy().view(np.uint64) % np.uint64(8 * OFTEN)).astype(np.int64)] = True
+    if bits.any():
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], ["bits"])
+
+
 def _within_reach(percent: int):
     """Links between sets of a team that the bounds of their points allow; rows are sorted by team."""
 
@@ -224,12 +275,21 @@ def _within_reach(percent: int):
     return run
 
 
-def blocks_of(docs: DataFrame, profile: DataFrame, counts: np.ndarray, width: int, percent: int) -> DataFrame:
+def blocks_of(docs: DataFrame, profile: DataFrame, counts: np.ndarray, width: int, percent: int, most: int = RUN) -> DataFrame:
     """node (a sid) and component: sets that may be linked share a component."""
     spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    emitted = docs.mapInArrow(_firsts(width, percent, counts), "key long, sid long")
-    shared = emitted.repartition(spread, "key").sortWithinPartitions("key", "sid").mapInArrow(_shared, "team long, sid long, other long")
-    shared = stored(shared, "ngram-shared")
+
+    def met(of, often: bool) -> DataFrame:
+        emitted = docs.mapInArrow(_keys(width, of), "key long, sid long").repartition(spread, "key").sortWithinPartitions("key", "sid")
+        return stored(emitted.mapInArrow(_shared(most, often), "team long, sid long, other long"), "ngram-shared")
+
+    shared = met(lambda s: first_members(s, percent, counts), True)
+    often = shared.where("other IS NOT NULL").select("sid")
+    shared = shared.where("team IS NOT NULL")
+    if not often.isEmpty():
+        maps = often.repartition(SUMS).mapInArrow(_marks, "bits binary").collect()  # of fixed size
+        bits = np.bitwise_or.reduce([np.frombuffer(r["bits"], np.uint8) for r in maps])
+        shared = shared.unionByName(met(lambda s: paired_members(s, percent, counts, bits), False))
     points = profile.where("n > 0").groupBy("sid").agg(F.first("n").alias("n"), F.first("point").alias("point"))
     teams = shared.where("team IS NOT NULL").select("team", "sid").distinct().join(points, "sid")
     links = teams.repartition(spread, "team").sortWithinPartitions("team").mapInArrow(_within_reach(percent), "a long, b long")
@@ -274,7 +334,7 @@ def _in_groups(rows: DataFrame, names: list[str], run) -> DataFrame:
     return rows.repartition(spread, *names).sortWithinPartitions(*names).mapInArrow(run, "a long, b long")
 
 
-def joined(docs: DataFrame, width: int = 4, percent: int = 85, tile_members: int = TILE_MEMBERS) -> DataFrame:
+def joined(docs: DataFrame, width: int = 4, percent: int = 85, tile_members: int = TILE_MEMBERS, most: int = RUN) -> DataFrame:
     """doc_id, n_shingles and component_id of each row of docs."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
@@ -282,7 +342,7 @@ def joined(docs: DataFrame, width: int = 4, percent: int = 85, tile_members: int
     counts = bucket_counts(profile)
     profile = profile.where("sketch IS NULL").drop("sketch")
     sets = stored(profile.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sid").alias("sid")), "ngram-sets")
-    blocks = blocks_of(docs, profile, counts, width, percent)
+    blocks = blocks_of(docs, profile, counts, width, percent, most)
     members = sets.where(F.col("rep").isNotNull()).join(blocks, F.col("sid") == F.col("node")).select("rep", "digest", "n", F.col("component").alias("block"))
     sizes = members.groupBy("block").agg(F.sum("n").alias("total"), F.count("*").alias("sets"))
     sizes = sizes.where("sets > 1").withColumn("tiles", F.ceil(F.col("total") / tile_members).cast("int")).select("block", "tiles")
