@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept and returns the columns of documents, but for
 the last one, which returns the packed pieces. Between stages the rows are written as Parquet and read again.
+
+Documents without a text fail the length rule and go. Near-duplicates share 80 of 100 shingles of five words. A document that
+the mix takes twice is packed twice. Repeated rows, ties, very long texts, empty tables and further columns of documents are
+treated as each stage's operator says; the columns that come in go out of all stages but the last.
 """
 
 from __future__ import annotations
