@@ -14,6 +14,7 @@ from rolemill.plans.adapted import LISTINGS_SQL, listings, table
 from rolemill.queries import query
 from rolemill.shared import shared_path
 from rolemill.sources import readers
+from rolemill.streaming import ingest
 
 _L = f"WITH l AS ({LISTINGS_SQL})"
 
@@ -418,3 +419,16 @@ def page_links(spark, sf):
     """Of each page the employer's domain that it gives and the careers page that it links to; tests hold both against pages."""
     rows = table(spark, sf, "pages").withColumn("own", sites.corporate_domain("url"))
     return rows.select("page_id", "own", sites.careers_link(F.col("html"), F.col("url"), F.col("own")).alias("careers"), sites.employer_domain(F.col("html"), F.col("url"), F.split_part(F.col("own"), F.lit("."), F.lit(1))).alias("domain"))
+
+
+# ---- streams ----
+
+@query("SELECT event_type, CAST(time_bucket(INTERVAL 6 HOURS, ts, TIMESTAMP '1970-01-01') AS VARCHAR) AS opened, count(*) AS rows, sum(event_id)::BIGINT AS value FROM events GROUP BY 1, 2")
+def stream_windows(spark, sf):
+    root = shared_path(spark, "stream")
+    events = table(spark, sf, "events").selectExpr("event_type", "CAST(ts AS TIMESTAMP) AS ts", "event_id AS value")
+    events.write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(events.schema).parquet(f"{root}/in")
+    ingest.run_available(ingest.counted(stream, "ts", "6 hours", "1 day", "event_type"), f"{root}/progress", lambda batch, n: batch.write.mode("overwrite").parquet(f"{root}/out"), "complete")
+    rows = spark.read.parquet(f"{root}/out")
+    return rows.select("event_type", F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("opened"), "rows", "value")
