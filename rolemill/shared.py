@@ -35,6 +35,11 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Has the driver collect its garbage. Spark drops shuffle files and broadcasts of finished jobs only when it does."""
+    spark._jvm.System.gc()
+
+
 def clean(spark: SparkSession) -> int:
     """Deletes the folders that this process has made, once nothing that was read from them is needed; how many there were."""
     gone = 0
