@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolemill.shared import shared_path, stored
+from rolemill.shared import release, shared_path, stored
 
-__all__ = ["shared_path", "stored"]
+__all__ = ["release", "shared_path", "stored"]
 #: ASCII white space as the contracts spell it: blank and 0x09 to 0x0D.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"

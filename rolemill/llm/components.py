@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rolemill.llm.common import stored
+from rolemill.llm.common import release, stored
 
 SCHEMA = "a long, b long, moved boolean"
 #: Links that a task holds before it makes a forest of them, and nodes of a forest before it is sent on.
@@ -85,6 +85,7 @@ def components(links: DataFrame) -> DataFrame:
         dealt = jumped.mapInArrow(_contracted, SCHEMA).repartition(spread, "a").sortWithinPartitions("a", "b")
         after = stored(dealt.mapInArrow(_contracted, SCHEMA), "links")
         now = after.where("a IS NOT NULL")
+        release(links.sparkSession)
         if after.where("moved").isEmpty():
             break
     roots = now.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rolemill.llm.common import likely_in, stored, text_of
+from rolemill.llm.common import likely_in, release, stored, text_of
 from rolemill.llm.components import components
 from rolemill.llm.rtree import fine_groups, point, reachable_links, spanning_links
 from rolemill.llm.textarrays import as_bytes, lowered, mixed, windows, word_hashes
@@ -47,7 +47,7 @@ TILE_MEMBERS = 400_000
 #: Sets of a large block that go to each of its tiles.
 PIVOTS = 24
 #: Buckets in which members are counted, and rows in which the counts meet.
-SKETCH, SUMS = 1 << 19, 8
+SKETCH, SUMS = 1 << 19, 4
 #: Sets with a common member that are held against each other.
 RUN = 5000
 #: Bytes of the bitmap of members that more sets have, and rows of texts that Python holds at once.
@@ -289,6 +289,7 @@ def blocks_of(docs: DataFrame, profile: DataFrame, counts: np.ndarray, width: in
     if not often.isEmpty():
         maps = often.repartition(SUMS).mapInArrow(_marks, "bits binary").collect()  # of fixed size
         bits = np.bitwise_or.reduce([np.frombuffer(r["bits"], np.uint8) for r in maps])
+        release(docs.sparkSession)
         shared = shared.unionByName(met(lambda s: paired_members(s, percent, counts, bits), False))
     points = profile.where("n > 0").groupBy("sid").agg(F.first("n").alias("n"), F.first("point").alias("point"))
     teams = shared.where("team IS NOT NULL").select("team", "sid").distinct().join(points, "sid")
@@ -340,6 +341,7 @@ def joined(docs: DataFrame, width: int = 4, percent: int = 85, tile_members: int
     docs = docs.select("doc_id", "text")
     profile = stored(docs.mapInArrow(_profile(width), "doc_id long, n long, digest binary, sid long, point binary, sketch binary"), "ngram-profile")
     counts = bucket_counts(profile)
+    release(spark)
     profile = profile.where("sketch IS NULL").drop("sketch")
     sets = stored(profile.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sid").alias("sid")), "ngram-sets")
     blocks = blocks_of(docs, profile, counts, width, percent, most)
@@ -347,9 +349,11 @@ def joined(docs: DataFrame, width: int = 4, percent: int = 85, tile_members: int
     sizes = members.groupBy("block").agg(F.sum("n").alias("total"), F.count("*").alias("sets"))
     sizes = sizes.where("sets > 1").withColumn("tiles", F.ceil(F.col("total") / tile_members).cast("int")).select("block", "tiles")
     members = stored(members.join(sizes, "block"), "ngram-members")
+    release(spark)
     tiled = _tiled(members)
     texts = likely_in(docs.select(F.col("doc_id").alias("rep"), "text"), "rep", members.select("rep"))
     links = stored(_in_groups(tiled.join(texts, "rep"), ["block", "tile"], _links(width, percent, ["block", "tile"], False)), "ngram-links")
+    release(spark)
     rest = _unsettled(members, links)
     if rest is not None:
         more = _in_groups(rest.join(texts, "rep"), ["block", "tile", "chunk"], _links(width, percent, ["block", "tile", "chunk"], True))
