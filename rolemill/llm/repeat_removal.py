@@ -328,6 +328,15 @@ def _kept(length: int, passage: int):
     return run
 
 
+def _of_keys(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """rows whose key is among keys, which come out of an aggregation by key.
+
+    The keys are turned over so that both sides are dealt anew for the join: only then can Spark split a key of many rows.
+    """
+    turned = keys.select(F.bitwise_not("key").alias("__key"), *[c for c in keys.columns if c != "key"])
+    return rows.join(turned, F.bitwise_not(rows["key"]) == F.col("__key"), how).drop("__key")
+
+
 def repeats(texts: DataFrame, length: int = LENGTH, passage: int = PASSAGE, piece: int = PIECE, hot_windows: int = HOT_WINDOWS) -> DataFrame:
     """texts: did (a digest of the text) and text. did, first, last, long: runs of starts whose strings start elsewhere too.
 
@@ -336,15 +345,15 @@ def repeats(texts: DataFrame, length: int = LENGTH, passage: int = PASSAGE, piec
     spark = texts.sparkSession
     windows = stored(texts.mapInArrow(_windows(length, passage, piece), "did binary, key long, content long, first int, last int"), "repeat-windows")
     code = F.xxhash64("content", "did", "first")
-    busy = windows.groupBy("key").agg((F.min(code) < F.max(code)).alias("busy")).where("busy").select("key")  # the others occur once
-    windows = stored(windows.join(busy, "key", "left_semi"), "repeat-busy")
+    busy = windows.groupBy("key").agg((F.min(code) < F.max(code)).alias("busy")).where("busy")  # the others occur once
+    windows = stored(_of_keys(windows, busy.select("key"), "left_semi"), "repeat-busy")
     here = F.struct("did", "first", "last")
     kinds = stored(windows.groupBy("key", "content").agg(F.min(here).alias("here"), (F.min(here) < F.max(here)).alias("twice")), "repeat-kinds")
     twice = kinds.where("twice").select("key", "content")
     settled = windows.join(twice, ["key", "content"], "left_semi").select("did", "first", "last", F.lit(True).alias("long")).distinct()
     several = kinds.groupBy("key").agg(F.count("*").alias("k")).where("k > 1")
     window = F.struct("key", "here.first", "here.last", (F.col("k") > hot_windows).alias("hot"))
-    opened = kinds.join(several, "key").groupBy(F.col("here.did").alias("did")).agg(F.collect_list(window).alias("open"))
+    opened = _of_keys(kinds, several, "inner").groupBy(F.col("here.did").alias("did")).agg(F.collect_list(window).alias("open"))
     once = texts.groupBy("did").agg(F.first("text").alias("text"))
     cut = stored(once.join(opened, "did").mapInArrow(_cut(length), "hot boolean, key long, did binary, first int, live int, bytes binary"), "repeat-open")
     spread_over = int(spark.conf.get("spark.sql.shuffle.partitions"))
