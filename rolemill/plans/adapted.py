@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rolemill.functions.text import upper_each
 
 #: Source, title, place and pay of a posting, told from a document's id, text and language.
 LISTING = {
@@ -37,5 +40,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").where("text IS NOT NULL")
-    return docs.selectExpr(*[f"{e} AS {c}" for c, e in LISTING.items()])
+    """LISTINGS_SQL on Spark, whose own upper() makes two letters of some."""
+    docs = table(spark, sf_dir, "documents").where("text IS NOT NULL").withColumn("initials", upper_each(F.substring("text", 1, 2)))
+    return docs.selectExpr(*[f"{e.replace('upper(substr(text, 1, 2))', 'initials')} AS {c}" for c, e in LISTING.items()])
