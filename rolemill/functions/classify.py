@@ -73,8 +73,13 @@ def pay_period(text: Column) -> Column:
     return F.coalesce(*[F.when(text.rlike(p), period) for period, p in fixed.PERIOD_WORDS.items()])
 
 
+def _as_sql(pattern: str) -> str:
+    r"""The pattern read as the SQL engine does: \s without the vertical tab, and letters of either case in all scripts."""
+    return pattern.replace(r"\s", fixed.SQL_BLANK).replace("(?i)", "(?iu)")
+
+
 def pay_disclosed(salary_min: Column, summary: Column, description: Column) -> Column:
-    said = description.rlike(fixed.PAY_RANGE) | description.rlike(fixed.PAY_PHRASE)
+    said = description.rlike(_as_sql(fixed.PAY_RANGE)) | description.rlike(_as_sql(fixed.PAY_PHRASE))
     return present(salary_min).isNotNull() | present(summary).isNotNull() | F.coalesce(said, F.lit(False))
 
 

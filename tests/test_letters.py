@@ -1,8 +1,9 @@
 """Queries over texts whose letters or blanks Spark and the SQL engine see differently; what is wanted is what the SQL says."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from rolemill.functions import text
+from rolemill.functions import classify, text
 from rolemill.queries import QUERIES
 
 
@@ -22,3 +23,14 @@ def test_one_letter_makes_one(spark, odd):
     row = spark.createDataFrame([(f"a{odd}Σ",)], "t string").select(text.upper_each("t").alias("u"), text.lower_each("t").alias("l")).head()
     assert len(row.u) == len(row.l) == len(odd) + 2
     assert (row.u[0], row.u[-1], row.l[-1]) == ("A", "Σ", "σ")
+
+
+def test_us_pay_cohort(spark, tmp_path):
+    found = got(spark, tmp_path, "us_pay_cohort", {1: "ßa one", 37: "SSa one", 73: "ﬁ one"})
+    assert [r[:3] for r in found] == [("lever", "Firm SS INC", 1), ("lever", "Firm ẞA INC", 1), ("lever", "Firm ﬁ  INC", 1)]
+
+
+@pytest.mark.parametrize(("said", "want"), [("ſALARY RANGE: $100,000", True), ("ſalary range: $100,000", True), ("$100,000\v- $200,000", False), ("$100,000\n- $200,000", True)])
+def test_pay_in_prose(spark, said, want):
+    none = F.lit(None).cast("string")
+    assert spark.createDataFrame([(said,)], "d string").select(classify.pay_disclosed(none, none, F.col("d")).alias("x")).head()["x"] == want
