@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from rolemill.functions import fixed
 from rolemill.functions.places import reconciled_country
 from rolemill.functions.similarity import alike, in_order
-from rolemill.functions.text import company_norm, title_core, title_slug, trimmed
+from rolemill.functions.text import company_norm, lower_each, title_core, title_slug, trimmed
 from rolemill.operators.groups import first_of, with_group
 from rolemill.operators.listings import col_or, source_rank
 from rolemill.shared import stored
@@ -29,8 +29,8 @@ PAY = ["salary_min", "salary_max", "salary_currency", "salary_period", "salary_s
 def keys(df: DataFrame) -> DataFrame:
     """What the passes compare, one thin row a posting."""
     out = df.select(
-        "seq", "ats_type", source_rank().alias("rank"), trimmed("url").alias("url"), F.lower(trimmed("title")).alias("title"),
-        F.lower(trimmed("company")).alias("company"), F.lower(trimmed("location")).alias("location"),
+        "seq", "ats_type", source_rank().alias("rank"), trimmed("url").alias("url"), lower_each(trimmed("title")).alias("title"),
+        lower_each(trimmed("company")).alias("company"), lower_each(trimmed("location")).alias("location"),
         reconciled_country(col_or(df, "location"), col_or(df, "country_iso")).alias("country"), trimmed("ats_id").alias("ats_id"),
         title_core("title").alias("core"),
     )

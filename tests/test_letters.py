@@ -34,3 +34,12 @@ def test_us_pay_cohort(spark, tmp_path):
 def test_pay_in_prose(spark, said, want):
     none = F.lit(None).cast("string")
     assert spark.createDataFrame([(said,)], "d string").select(classify.pay_disclosed(none, none, F.col("d")).alias("x")).head()["x"] == want
+
+
+def test_dedup_exact_passes(spark, tmp_path):
+    assert [r[:2] for r in got(spark, tmp_path, "dedup_exact_passes", {1: "ßa one", 3: "éa two"})] == [(1, "lever")]
+
+
+@pytest.mark.parametrize(("title", "want"), [("A\vB", "a\vb"), (" A\tB\n", "a b"), ("A (b)\v(c)", "a (b)\v"), ("ΟΣ İ", "οσ i")])
+def test_core_of_odd_titles(spark, title, want):
+    assert spark.createDataFrame([(title,)], "t string").select(text.title_core("t").alias("x")).head()["x"] == want
