@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 from rolemill.functions import classify, text
 from rolemill.queries import QUERIES
 
+#: The same first three words but for the first letter, which no key keeps, in texts of different lengths.
+TWINS = {38: "ßa one two", 9: "éa one two three"}
+
 
 def got(spark, tmp_path, name, texts):
     path = str(tmp_path)
@@ -43,3 +46,7 @@ def test_dedup_exact_passes(spark, tmp_path):
 @pytest.mark.parametrize(("title", "want"), [("A\vB", "a\vb"), (" A\tB\n", "a b"), ("A (b)\v(c)", "a (b)\v"), ("ΟΣ İ", "οσ i")])
 def test_core_of_odd_titles(spark, title, want):
     assert spark.createDataFrame([(title,)], "t string").select(text.title_core("t").alias("x")).head()["x"] == want
+
+
+def test_dedup_gated_pairs(spark, tmp_path):
+    assert got(spark, tmp_path, "dedup_gated_pairs", TWINS) == [(38, 9)]
