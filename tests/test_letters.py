@@ -50,3 +50,7 @@ def test_core_of_odd_titles(spark, title, want):
 
 def test_dedup_gated_pairs(spark, tmp_path):
     assert got(spark, tmp_path, "dedup_gated_pairs", TWINS) == [(38, 9)]
+
+
+def test_publish_equal_keys(spark, tmp_path):
+    assert [r[:2] for r in got(spark, tmp_path, "publish_equal_keys", TWINS)] == [(9, "greenhouse")]
