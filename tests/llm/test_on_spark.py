@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from rolemill.llm import exact_dedup, language_id, lm_scoring, mixing, ngram_join, packing, quality_classifier, quality_rules, repeat_removal, secrets
+from rolemill.llm.queries import QUERIES
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, key string, kept boolean, n_words string, digest int"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -365,3 +366,16 @@ def test_pipeline_against_brute_force(spark, rows, tmp_path):
         ends = sorted((r.offset, r.n_tokens) for r in held)
         assert ends[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(ends, ends[1:]))
         assert sum(n for _, n in ends) == held[0].bin_tokens and held[0].capacity == min(c for c in packing.LENGTHS if c >= held[0].bin_tokens)
+
+
+def test_scoring_has_the_driver_collect_its_garbage(spark, tmp_path):
+    """Else shuffles and broadcasts of its finished jobs stay in the driver until it happens to."""
+    spark.createDataFrame([(i, f"a b c {i}") for i in range(8)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+
+    def collections() -> int:
+        beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+        return sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+
+    before = collections()
+    assert QUERIES["op8_lm_scoring"](spark, str(tmp_path)).count() == 8
+    assert collections() >= before + 4
