@@ -1,8 +1,9 @@
 """Cross-source deduplication: eight passes in turn, each over what the one before left.
 
-Rows are ordered by (rank, seq): the source's rank, then the order of ingest, which must be unique. The passes that
-compare titles work on blocks of one employer, and skip blocks that stay larger than a limit even for a single country, as
-the contract of those passes says; every other pass is joins and aggregates.
+Rows are ordered by (rank, seq): the source's rank, then the order of ingest, which must be unique but for rows of one url,
+of which one stays in any case. The passes that compare titles work on blocks of one employer, and skip blocks that stay
+larger than a limit even for a single country, as the contract of those passes says; every other pass is joins and
+aggregates.
 """
 
 from __future__ import annotations

@@ -19,11 +19,11 @@ def with_group(df: DataFrame, keys: list[str], **facts: Column) -> DataFrame:
 
 
 def first_of(df: DataFrame, keys: list[str], order: list[str], valid: Column | None = None) -> DataFrame:
-    """The first row by order of each group; rows that aren't valid all stay, in no group."""
+    """One row a group, the first by order and then by its other columns; rows that aren't valid all stay, in no group."""
     valid = F.lit(True) if valid is None else F.coalesce(valid, F.lit(False))
-    place = F.struct(*order)
-    grouped = with_group(df.where(valid), keys, __first=F.min(place))
-    return grouped.where(place == F.col("__first")).drop("__first").unionByName(df.where(~valid))
+    whole = F.struct(*order, *[c for c in df.columns if c not in order])
+    firsts = df.where(valid).groupBy(*keys).agg(F.min(whole).alias("__first"))
+    return firsts.select(*[F.col("__first")[c].alias(c) for c in df.columns]).unionByName(df.where(~valid))
 
 
 def latest_of(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:

@@ -88,3 +88,17 @@ def test_empty_slice_is_refused():
         sinks.guard({"lever": 3}, {"by_ats": {"lever": {"rows": 2}, "gem": {"rows": 5}}})
     sinks.guard({"lever": 3}, {"by_ats": {"gem": {"rows": 5}}}, allow_empty=True)
     assert sinks.read_manifest("{not json") == {}
+
+
+def test_repeated_rows_count_once(spark):
+    gated = {"seq": 0, "url": "x", "ats_type": "welcometothejungle", "title": "Manager (Sales)", "location": "Paris, France"}
+    own = {"seq": 1, "url": "y", "ats_type": "greenhouse", "title": "Manager, Sales", "location": "Lyon, France"}
+    left = dedup.exact_passes(dedup.keys(rows(spark, gated, own, own, gated)))
+    assert sorted(r.seq for r in left.collect()) == [0, 1]
+    assert [tuple(r) for r in dedup.gated_pairs(left).collect()] == [(0, 1)]
+
+
+def test_one_row_a_url_where_ids_repeat(spark):
+    same = {"seq": 5, "url": "x"}
+    found = dedup.by_url(dedup.keys(rows(spark, same | {"title": "B"}, same | {"title": "A"}, same | {"title": "C"}))).collect()
+    assert [(r.seq, r.title) for r in found] == [(5, "a")]
