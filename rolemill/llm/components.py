@@ -75,14 +75,14 @@ def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def components(links: DataFrame) -> DataFrame:
     """links: a, b, numbers of nodes. Each node that has a link to another, with the smallest node of its component."""
-    spread = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     turned = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), F.lit(False).alias("moved"))
     now = stored(turned.mapInArrow(_contracted, SCHEMA), "links").where("a IS NOT NULL")
     while True:
         # The keys are turned over so that both sides are dealt anew for the join: only then can Spark split a node of many links.
         least = now.groupBy("a").agg(F.min("b").alias("m")).select(F.bitwise_not("a").alias("c"), "m")
         jumped = now.join(least.hint("merge"), F.bitwise_not("b") == F.col("c"), "left").select("a", F.coalesce("m", "b").alias("b"), F.col("m").isNotNull().alias("moved"))
-        dealt = jumped.mapInArrow(_contracted, SCHEMA).repartition(spread, "a").sortWithinPartitions("a", "b")
+        # Without a number, so that few links make few tasks and files: for each file executors start processes that set modes.
+        dealt = jumped.mapInArrow(_contracted, SCHEMA).repartition("a").sortWithinPartitions("a", "b")
         after = stored(dealt.mapInArrow(_contracted, SCHEMA), "links")
         now = after.where("a IS NOT NULL")
         release(links.sparkSession)

@@ -8,7 +8,8 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from rolemill.llm import exact_dedup, language_id, lm_scoring, mixing, ngram_join, packing, quality_classifier, quality_rules, repeat_removal, secrets
+from rolemill import shared
+from rolemill.llm import components, exact_dedup, language_id, lm_scoring, mixing, ngram_join, packing, quality_classifier, quality_rules, repeat_removal, secrets
 from rolemill.llm.queries import QUERIES
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, key string, kept boolean, n_words string, digest int"
@@ -379,3 +380,17 @@ def test_scoring_has_the_driver_collect_its_garbage(spark, tmp_path):
     before = collections()
     assert QUERIES["op8_lm_scoring"](spark, str(tmp_path)).count() == 8
     assert collections() >= before + 4
+
+
+def test_few_links_make_few_files(spark):
+    """Executors start processes for each file that they write, which a look at their memory may count with all of theirs."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        made = len(shared._made)
+        links = spark.createDataFrame([(i + 1, i) for i in range(0, 60) if i % 20 != 19], "a long, b long").coalesce(1)
+        found = {r["node"]: r["component"] for r in components.components(links).collect()}
+        assert found == {i: i - i % 20 for i in range(60)}
+        assert all(len(spark.read.parquet(path).inputFiles()) < 5 for path in shared._made[made:])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
